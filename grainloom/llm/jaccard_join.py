@@ -162,25 +162,6 @@ def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pd.Da
         yield pd.concat(rest, ignore_index=True)
 
 
-def _forest(pairs: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[tuple[int, int]]:
-    """Edges that join what the pairs join, fewer than n."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for left, right in pairs:
-        for a, b in zip(left.tolist(), right.tolist(), strict=True):
-            if (ra := root(a)) != (rb := root(b)):
-                parent[max(ra, rb)] = min(ra, rb)
-                out.append((a, b))
-    return out
-
-
 def _edges_of(linked: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of a boolean matrix of links, found row by row so that the pairs are never listed."""
     n = len(linked)
@@ -198,6 +179,26 @@ def _edges_of(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _cross_edges(linked: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
+    """Links between two blocks that join what neither block joins by itself; (i, i) returns what joins a block."""
+    n = len(linked)
+    label, inner = np.full(n, -1), linked & (own[:, None] == own[None, :])
+    for start in range(n):
+        if label[start] < 0:
+            label[start], stack = start, [start]
+            while stack:
+                new = np.flatnonzero(inner[stack.pop()] & (label < 0))
+                label[new] = start
+                stack += new.tolist()
+    out, cross = [], linked & ~inner
+    for x in np.flatnonzero(own == own[0]) if n else ():
+        for y in np.flatnonzero(cross[x]):
+            if label[y] != label[x]:
+                out.append((int(x), int(y)))
+                label[label == label[y]] = label[x]
+    return out
+
+
 _KEY = ["bucket", "i", "j"]
 
 
@@ -214,7 +215,7 @@ def _coarse(least: int):
         quiet_threads()
         for frame in _groups(batches, _KEY):
             sig = np.frombuffer(b"".join(frame["sig"]), np.uint32).reshape(len(frame), ORDERS)
-            node, out_a, out_b = frame["node"].to_numpy(), [], []
+            node, own, out_a, out_b = frame["node"].to_numpy(), frame["_own"].to_numpy(), [], []
             fresh = np.ones(len(frame), bool)
             for k in _KEY:
                 v = frame[k].to_numpy()
@@ -230,7 +231,9 @@ def _coarse(least: int):
                     for k in range(ORDERS):
                         v = sig[s:e, k]
                         equal += v[:, None] == v[None, :]
-                    for a, b in _edges_of(equal >= least):
+                    linked = equal >= least
+                    across = frame["i"].iat[s] != frame["j"].iat[s]
+                    for a, b in _cross_edges(linked, own[s:e]) if across else _edges_of(linked):
                         out_a.append(node[s + a])
                         out_b.append(node[s + b])
             if out_a:
@@ -275,11 +278,11 @@ def _exact(threshold: float):
                 both = _meet(sets)
                 linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-6
                 np.fill_diagonal(linked, False)
-                forest = _edges_of(linked)
-                counted = linked
-                if i != j:  # pairs of one block are counted in (i, i)
+                if i == j:
+                    counted, forest = linked, _edges_of(linked)
+                else:  # pairs of one block are counted in (i, i)
                     own = part["_own"].to_numpy()
-                    counted = linked & (own[:, None] != own[None, :])
+                    counted, forest = linked & (own[:, None] != own[None, :]), _cross_edges(linked, own)
                 copies = part["copies"].to_numpy()
                 node = part["node"].to_numpy()
                 texts, docs = counted.sum(1), counted @ copies
@@ -345,7 +348,7 @@ def _classified(docs: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFrame
     pick = F.min(F.struct(F.col("doc_id").alias("pick_id"), F.col("text_key").alias("pick_key")))
     nodes = settled(members.groupBy("node").agg(F.min("doc_id").alias("rep"), pick.alias("_pick"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig")).select("node", "rep", "_pick.*", "copies", "sig"))
     buckets = _buckets(nodes.where("sig IS NOT NULL").select("node", "sig"), how)
-    coarse = _sorted_blocks(_blocks(buckets, "size", how.small, "sig").select(*_KEY, "node", "sig")).mapInArrow(_coarse(how.least_equal()), "a binary, b binary")
+    coarse = _sorted_blocks(_blocks(buckets, "size", how.small, "sig").select(*_KEY, "node", "_own", "sig")).mapInArrow(_coarse(how.least_equal()), "a binary, b binary")
     clusters = components(coarse).withColumnRenamed("label", "bucket")
     sizes = clusters.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     inside = clusters.join(sizes, "bucket").join(nodes.select("node", "pick_id", "pick_key", "copies"), "node")
