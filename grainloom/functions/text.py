@@ -42,6 +42,12 @@ def char_ngrams(text: Column, n: int) -> Column:
     return F.when(F.length(text) < n, F.array(text)).otherwise(F.array_distinct(let(F.split(text, ""), of)))
 
 
+def word_ngram_hashes(tokens: Column, n: int) -> Column:
+    """word_ngrams() by 64-bit hashes of their words: to count or to join them, without their text."""
+    of = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(n))))
+    return let(tokens, lambda w: F.when(F.size(w) >= n, of(w)).otherwise(F.array().cast("array<bigint>")))
+
+
 def strip_then_drop_marks(text: Column) -> Column:
     """Lower case, stripped, white space collapsed, then marks deleted; blanks around a mark stay doubled."""
     return F.regexp_replace(F.regexp_replace(strip(F.lower(text)), f"{_U}{SPACE}+", " "), rf"{_U}[^\w\s\x1c-\x1f]", "")

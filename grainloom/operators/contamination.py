@@ -1,14 +1,16 @@
 """Benchmark contamination: word n-grams against an inverted index, and character n-grams with exact hashes first.
 
-Both are equi-joins on n-grams. The benchmark's side is broadcast while its counted n-grams are few; else it is shuffled.
+Both are equi-joins on n-grams, by 64-bit hashes. The benchmark's side is broadcast while its counted n-grams are few; else it is shuffled.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainloom.functions.text import char_ngrams, drop_marks_then_strip, strip_then_drop_marks, word_ngrams, words
+from grainloom.functions.ngram_hash import gram_rows
+from grainloom.functions.text import drop_marks_then_strip, strip_then_drop_marks, word_ngram_hashes, words
 from grainloom.session import settled
 
 #: n-grams of a benchmark that are broadcast at most.
@@ -35,8 +37,8 @@ def word_overlaps(docs: DataFrame, items: DataFrame, n: int = 13, least: float =
 
     hits adds, for each distinct n-gram of the document, how often it stands in the item, so overlap can exceed 1.
     """
-    index = items.select("item_id", F.explode(word_ngrams(words(drop_marks_then_strip(F.col("text"))), n)).alias("gram")).groupBy("gram", "item_id").agg(F.count(F.lit(1)).alias("times"))
-    grams = docs.select("doc_id", F.array_distinct(word_ngrams(words(drop_marks_then_strip(F.coalesce("text", F.lit("")))), n)).alias("grams"))
+    index = items.select("item_id", F.explode(word_ngram_hashes(words(drop_marks_then_strip(F.col("text"))), n)).alias("gram")).groupBy("gram", "item_id").agg(F.count(F.lit(1)).alias("times"))
+    grams = docs.select("doc_id", F.array_distinct(word_ngram_hashes(words(drop_marks_then_strip(F.coalesce("text", F.lit("")))), n)).alias("grams"))
     spread = grams.select("doc_id", F.size("grams").alias("doc_ngrams"), F.explode("grams").alias("gram"))
     hits = spread.join(_small(index), "gram").groupBy("doc_id", "doc_ngrams", "item_id").agg(F.sum("times").alias("hits"))
     return hits.withColumn("overlap", F.col("hits") / F.col("doc_ngrams")).where(F.col("overlap") > least).select("doc_id", "item_id", "hits", "doc_ngrams", "overlap")
@@ -67,9 +69,12 @@ def char_overlaps(docs: DataFrame, items: DataFrame, n: int = 13, least: float =
     hashed = docs.withColumn("h", F.sha2("t", 256))
     exact = hashed.join(_small(hashes), "h").select("doc_id", "item_id", F.lit("exact").alias("match_type"), F.lit(1.0).alias("similarity"))
     rest = hashed.join(_small(hashes.select("h")), "h", "left_anti")
-    item_grams = items.select("item_id", char_ngrams(F.col("t"), n).alias("g")).select("item_id", F.size("g").alias("item_n"), F.explode("g").alias("gram"))
-    doc_grams = rest.select("doc_id", char_ngrams(F.col("t"), n).alias("g")).select("doc_id", F.size("g").alias("doc_n"), F.explode("g").alias("gram"))
-    shared = doc_grams.join(_small(item_grams), "gram").groupBy("doc_id", "doc_n", "item_id", "item_n").agg(F.count(F.lit(1)).alias("shared"))
+    item_grams = settled(gram_rows(items, "item_id", "t", n).withColumnRenamed("n_grams", "item_n"))
+    few = item_grams.count() <= BROADCAST
+    # while the items' n-grams are few, documents emit only what is among them
+    known = np.array(sorted(r["gram"] for r in item_grams.select("gram").distinct().collect()), np.int64) if few else None
+    doc_grams = gram_rows(rest, "doc_id", "t", n, known).withColumnRenamed("n_grams", "doc_n")
+    shared = doc_grams.join(F.broadcast(item_grams) if few else item_grams, "gram").groupBy("doc_id", "doc_n", "item_id", "item_n").agg(F.count(F.lit(1)).alias("shared"))
     ratio = F.col("shared") / F.least("doc_n", "item_n")
     near = shared.withColumn("similarity", ratio).where(F.col("similarity") >= least).select("doc_id", "item_id", F.lit("ngram").alias("match_type"), "similarity")
     return exact.unionByName(near)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainloom.functions.text import let, word_ngrams, words
+from grainloom.functions.text import let, word_ngram_hashes, words
 
 #: A line that any of these is found in is boilerplate, whatever its case.
 BOILERPLATE = (
@@ -46,9 +46,9 @@ def without_boilerplate(text: Column) -> Column:
 
 
 def repetition_ratio(tokens: Column, n: int = 10) -> Column:
-    """The share of n-grams of lower-case words that came before; 0 if there are fewer than n words."""
+    """The share of n-grams of lower-case words that came before; 0 if there are fewer than n words. n-grams are compared by 64-bit hashes."""
     of = lambda g: F.when(F.size(g) > 0, (F.size(g) - F.size(F.array_distinct(g))) / F.size(g)).otherwise(F.lit(0.0))
-    return let(word_ngrams(F.transform(tokens, F.lower), n), of)
+    return let(word_ngram_hashes(F.transform(tokens, F.lower), n), of)
 
 
 def _measured(text: Column) -> Column:

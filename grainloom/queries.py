@@ -14,7 +14,7 @@ from grainloom.functions.text import let, rounded, words
 from grainloom.operators import assemble, contamination, dedup, evaluate, judge, merge, telemetry, versioning
 from grainloom.operators.quality import BOILERPLATE, analysis, reason_counts, repetition_ratio, with_quality
 from grainloom.plans import pipelines
-from grainloom.session import scratch, settled
+from grainloom.session import scratch, settled, spread
 from grainloom.sources import documents as sources
 from grainloom.streaming import telemetry as streams
 
@@ -34,7 +34,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    rows = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(rows) if name in ("documents", "pages", "conversations") else rows
 
 
 # Text: SQL that all of these share. White space and word characters are spelled out, because \s and \w are ASCII there.

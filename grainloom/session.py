@@ -26,3 +26,14 @@ def settled(df: DataFrame) -> DataFrame:
     """The same rows, their lineage cut by a reliable checkpoint."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+#: Tables of at least this many bytes come in enough pieces of their own.
+SPREAD_BELOW = 256 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table dealt to all cores: one file of one row group is else one task, however dear each row is."""
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= SPREAD_BELOW:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

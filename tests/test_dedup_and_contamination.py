@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from grainloom.functions import minhash
+from grainloom.functions.ngram_hash import gram_hashes
 from grainloom.operators import contamination, dedup
 from grainloom.plans import pipelines
 
@@ -108,3 +109,15 @@ def test_char_overlap_prefers_exact(spark):
     assert rows == {1: (2, "exact"), 2: (1, "ngram")}
     text = contamination.benchmark_text([F.lit("q"), F.lit(None).cast("string")], F.array(F.lit("c1"), F.lit("c2")), F.lit("ref"))
     assert docs.select(text.alias("t")).first()["t"] == "q c1 c2 ref"
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.text(alphabet="abé ", max_size=20), min_size=1, max_size=6))
+def test_gram_hashes_stand_for_grams(texts):
+    owner, found = gram_hashes(texts, 4)
+    want = [{t[i : i + 4] for i in range(len(t) - 3)} or {t} for t in texts]
+    assert np.bincount(owner, minlength=len(texts)).tolist() == [len(w) for w in want]
+    for i in range(len(texts)):
+        for j in range(i):
+            both = set(found[owner == i].tolist()) & set(found[owner == j].tolist())
+            assert len(both) == len(want[i] & want[j])
