@@ -42,10 +42,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def quiet_threads() -> None:
-    """One thread a task: native libraries must not start more than Spark gave."""
+def quiet_threads(keep_tokens: bool = False) -> None:
+    """One thread a task: native libraries must not start more than Spark gave. A worker that did another operator's tasks
+    before lets go of the token ids that it remembers, unless it needs them."""
     import os
+    import sys
 
+    if not keep_tokens and "grainloom.llm.wordbpe" in sys.modules:
+        sys.modules["grainloom.llm.wordbpe"].loaded.cache_clear()
     for name in ("OMP_NUM_THREADS", "RAYON_NUM_THREADS"):
         os.environ.setdefault(name, "1")
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Bytes of words: digits, ASCII letters and every byte of a non-ASCII character.
 WORD = np.zeros(256, bool)
@@ -36,24 +36,20 @@ class Texts:
 
 
 def slices(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES) -> Iterator[Texts]:
-    """Nulls count as empty. lower: in full Unicode."""
+    """Nulls count as empty. lower: in full Unicode. Only a slice at a time is copied."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "")
-    if lower:
-        column = pc.utf8_lower(column)
-    column = column.cast(pa.large_string())
     n = len(column)
-    if not n:
-        return
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int64, n + 1 + column.offset)[column.offset :]
-    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    to = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
-        j = min(j, n)
-        yield Texts(i, j, whole[at[i] : at[j]], at[i : j + 1] - at[i])
+        j = max(i + 1, int(np.searchsorted(to, (to[i - 1] if i else 0) + most, "right")))
+        part = pc.fill_null(column.slice(i, j - i), "")
+        part = (pc.utf8_lower(part) if lower else part).cast(pa.large_string())
+        _, offsets, data = part.buffers()
+        at = np.frombuffer(offsets, np.int64, len(part) + 1 + part.offset)[part.offset :]
+        whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        yield Texts(i, j, whole[at[0] : at[-1]], at - at[0])
         i = j
 
 

@@ -32,7 +32,7 @@ def counted(docs: DataFrame, tokenizer: str, path: str | None) -> DataFrame:
     kinds = dict(docs.dtypes)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quiet_threads()
+        quiet_threads(keep_tokens=path is not None)
         for batch in batches:
             if path:
                 n = loaded(path).counts(batch.column("text"))

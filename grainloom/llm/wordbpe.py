@@ -17,7 +17,7 @@ import pyarrow as pa
 from grainloom.llm.textbytes import slices, spans, word_hashes
 
 #: Pre-tokens a worker remembers before it starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Bytes of text that are worked on at once.
 AT_ONCE = 1 << 20
 
@@ -158,7 +158,7 @@ def loaded(path: str) -> WordBpe:
     """One a worker process."""
     from grainloom.llm.common import quiet_threads
 
-    quiet_threads()
+    quiet_threads(keep_tokens=True)
     return WordBpe(path)
 
 
