@@ -148,8 +148,10 @@ def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pd.Da
         if not len(frame):
             continue
         last = tuple(frame[k].iat[-1] for k in key)
-        ends = np.logical_and.reduce([frame[k].to_numpy() == v for k, v in zip(key, last, strict=True)])
-        cut = len(frame) - int(ends.sum())
+        values, cut = [frame[k].to_numpy() for k in key], len(frame) - 1
+        # one by one: compared with an array, a bytes scalar loses the NULs at its end
+        while cut and all(v[cut - 1] == x for v, x in zip(values, last, strict=True)):
+            cut -= 1
         if cut:
             yield pd.concat([*rest, frame.iloc[:cut]], ignore_index=True)
             rest = [frame.iloc[cut:]]

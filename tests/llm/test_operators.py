@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +205,35 @@ def test_join_finds_every_link_of_a_hot_group(spark):
     assert {k: (r["class_id"], r["n_links"]) for k, r in got.items()} == {k: (roots[k], links[k]) for k in range(len(texts))}
 
 
+def test_groups_are_whole_across_batches():
+    for label in (b"ab\x00", b"\x00\x00", b"ab", 7):
+        keys = [(b"a" if isinstance(label, bytes) else 1, 0, 0), *[(label, 0, 0)] * 7, (label, 0, 1)]
+        table = pa.table({"bucket": [k[0] for k in keys], "i": [k[1] for k in keys], "j": [k[2] for k in keys], "at": range(len(keys))})
+        for most in range(1, 10):
+            frames = [list(zip(*(f[c] for c in ("bucket", "i", "j", "at")), strict=True)) for f in jaccard_join._groups(iter(table.to_batches(most)), ["bucket", "i", "j"])]
+            assert [r for f in frames for r in f] == [(*k, n) for n, k in enumerate(keys)]
+            assert all(a[-1][:3] != b[0][:3] for a, b in zip(frames, frames[1:], strict=False))
+
+
+def test_join_compares_across_batches_whatever_the_label_ends_in(spark):
+    """The label of a cluster is its least node, here one that ends in NUL; batches hold fewer rows than the cluster."""
+
+    def nodes(texts):
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text_key": [b""] * len(texts), "text": texts})
+        return [n for b in jaccard_join._sketch(5)(iter([batch])) for n in b.column("node").to_pylist()]
+
+    near = lambda seed: [f"{prose(seed, 120)} v{k}" for k in range(7)]
+    texts = next(t for t in map(near, range(20_000)) if min(nodes(t)).endswith(b"\x00"))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        got = rows(jaccard_join.jaccard_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    finally:
+        spark.conf.set(name, before)
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"], r["n_text_links"]) for r in got) == [(k, 0, 6, 6) for k in range(7)]
+
+
 def test_keep_one_keeps_the_least_of_each_class(docs, none):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns
