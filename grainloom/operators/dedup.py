@@ -38,6 +38,16 @@ def similar_pairs(signed: DataFrame, key: str, threshold: float = 0.85, bands: i
     return both.withColumn("similarity", equal / float(slots)).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
+def linked(signed: DataFrame, key: str, threshold: float = 0.85) -> DataFrame:
+    """(a, b, similarity), a < b: similar_pairs(), and each other row of a signature with its first, at similarity 1.
+
+    Rows of similarity 1 are the members of a, and only they: first rows differ in a slot. Members share all pairs of
+    their first, so every pair of rows that reaches the threshold follows from these, and there is one row a copy.
+    """
+    members = signature_groups(signed, key).where(F.col(key) != F.col("head"))
+    return similar_pairs(signed, key, threshold).unionByName(members.select(F.col("head").alias("a"), F.col(key).alias("b"), F.lit(1.0).alias("similarity")))
+
+
 def signature_groups(signed: DataFrame, key: str) -> DataFrame:
     """(key, head): the least key with the same signature; rows without one are left out."""
     full = signed.where("signature IS NOT NULL").select(key, F.xxhash64("signature").alias("_1"), F.xxhash64(F.lit(7), "signature").alias("_2"))

@@ -128,8 +128,8 @@ def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def minhash_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of first rows of equal signatures; SQL would need 128 wrapping products for every shingle."""
-    return dedup.similar_pairs(settled(with_signature(_t(spark, d, "documents"), "doc_id", "text")), "doc_id")
+    """Pairs of first rows of equal signatures, and all others with their first; SQL would need 128 wrapping products for every shingle."""
+    return dedup.linked(settled(with_signature(_t(spark, d, "documents"), "doc_id", "text")), "doc_id")
 
 
 @query()

@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from grainloom import queries
 from grainloom.functions import minhash
 from grainloom.functions.ngram_hash import gram_hashes
 from grainloom.operators import contamination, dedup
@@ -52,6 +53,23 @@ def brute_kept(texts, threshold=0.85):
     return out
 
 
+def test_pairs_and_members_give_every_link(spark, tmp_path):
+    """Exact copies, texts that differ in case or outer blanks, near texts, one that ties in every slot, others, and texts without a shingle."""
+    near = " ".join([FOX] * 3) + " and sleeps until the morning comes around"
+    texts = [near, FOX, near, near.upper(), f"  {near}\n", near + " again", FOX.lower(), "another text of no likeness", near + " again", None, "abc", "abc", near + "s"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in queries.minhash_pairs(spark, str(tmp_path)).collect()]
+    signs = [brute_signature(t or "") for t in texts]
+    alike = lambda i, j: 0.0 if signs[i] is None or signs[j] is None else float((signs[i] == signs[j]).mean())
+    assert len(set(got)) == len(got) and all(a < b and s == alike(a, b) for a, b, s in got)
+    head = {b: a for a, b, s in got if s == 1}
+    assert head == {2: 0, 3: 0, 4: 0, 6: 1, 8: 5, 12: 0}
+    pairs = {(a, b) for a, b, s in got if s < 1}
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if alike(i, j) >= 0.85}
+    of = lambda i: head.get(i, i)
+    assert pairs and {(i, j) for j in range(len(texts)) for i in range(j) if signs[i] is not None and (of(i) == of(j) or (min(of(i), of(j)), max(of(i), of(j))) in pairs)} == want
+
+
 def test_greedy_near_duplicates(spark):
     rng = np.random.default_rng(1)
     word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
