@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Samples in a row of a picture made of plain bytes.
@@ -210,4 +210,31 @@ def digests(stored: DataFrame) -> DataFrame:
 
 def write_tiles(stored: DataFrame, path: str) -> None:
     """The pictures, tiles and hashes as Parquet; each `tile` is a whole NPY file."""
-    stored.write.mode("overwrite").parquet(path)
+    stored.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def reread(spark: SparkSession, path: str) -> DataFrame:
+    """digests() of what write_tiles() left at path, from the stored bytes alone: media is decoded anew, and the hash is that of the tile as NPY reads it."""
+    table = spark.read.parquet(path).select("doc_id", "n_bytes", "media", "tile")
+    kind = dict(table.dtypes)["doc_id"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for media, packed in zip(batch.column("media"), batch.column("tile"), strict=True):
+                media, packed = media.as_py(), packed.as_py()
+                payload = decode(media).tobytes()
+                small = np.load(io.BytesIO(packed), allow_pickle=False)
+                feature = f"dhash:{difference_hash(small)} tile:{hashlib.sha256(packed).hexdigest()[:16]}"
+                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+
+    return table.mapInArrow(rows, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+
+
+def kept(docs: DataFrame, path: str, form: str = "pgm") -> DataFrame:
+    """Writes store()'s table to path and gives the digests of what is read back from there."""
+    write_tiles(store(docs, form), path)
+    return reread(docs.sparkSession, path)

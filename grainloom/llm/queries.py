@@ -23,7 +23,7 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.digests(media.store(table(spark, sf_dir, "documents")))
+    return media.kept(table(spark, sf_dir, "documents"), scratch(spark, "media"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from grainloom.llm import jaccard_join, licenses, media, mixing, packing, quality_classifier, quality_rules, sharding, token_counts, warc
+from grainloom.llm import jaccard_join, licenses, media, mixing, packing, quality_classifier, quality_rules, queries, sharding, token_counts, warc
 from grainloom.llm.common import scratch
 from grainloom.llm.components import components
 from grainloom.llm.wordbpe import default_path
@@ -271,6 +271,26 @@ def test_media_round_trip(docs, none):
     assert media.digests(media.store(none)).count() == 0
 
 
+def test_media_digests_are_those_of_the_stored_bytes(spark, docs, none, tmp_path, monkeypatch):
+    flat = lambda df: sorted(map(repr, rows(df)))
+    for form in ("pgm", "bmp"):
+        assert flat(media.kept(docs, f"{tmp_path}/{form}", form)) == flat(media.digests(media.store(docs, form)))
+    assert media.kept(none, f"{tmp_path}/none").count() == 0
+    # a fault in the stored table shows
+    other = media.store(spark.createDataFrame([(0, FAR)], "doc_id long, text string")).select(F.col("media").alias("_m"), F.col("tile").alias("_t"))
+    hurt = F.col("doc_id") == 0
+    bad = spark.read.parquet(f"{tmp_path}/pgm").crossJoin(other).withColumn("media", F.when(hurt, F.col("_m")).otherwise(F.col("media"))).withColumn("tile", F.when(hurt, F.col("_t")).otherwise(F.col("tile"))).drop("_m", "_t")
+    media.write_tiles(bad, f"{tmp_path}/bad")
+    a, b = ({r["doc_id"]: r for r in rows(media.reread(spark, f"{tmp_path}/{x}"))} for x in ("pgm", "bad"))
+    assert {k for k in a if a[k] != b[k]} == {0} and all(a[0][c] != b[0][c] for c in ("payload_sha256", "media_sha256", "feature"))
+    # the query stores its whole table
+    (tmp_path / "in").mkdir()
+    docs.write.parquet(f"{tmp_path}/in/documents.parquet")
+    monkeypatch.setattr(queries, "scratch", lambda spark, name: f"{tmp_path}/{name}")
+    assert flat(queries.op4_media_columns(spark, f"{tmp_path}/in")) == flat(media.digests(media.store(docs)))
+    assert spark.read.parquet(f"{tmp_path}/media").count() == len(ROWS)
+
+
 # 5. Licenses
 
 
