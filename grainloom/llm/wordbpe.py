@@ -3,7 +3,8 @@
 The vocabulary's pre-tokenizer drops white space and never joins across it, so the ids of a text are those of its
 pre-tokens in order. Pre-tokens of ASCII and Latin-1 text are found on the bytes of a whole slice at once; each worker
 keeps the ids of those it has met, by a 64-bit hash, and only new ones reach the library. A white-space chunk that has
-anything else (an apostrophe, a control character, a character from U+0100 on) is handed to the library as it stands.
+anything else (an apostrophe, a control character, a character from U+0100 on, "<|", with which the added tokens start)
+is handed to the library as it stands, so that a written <|endoftext|> is that token, as in a plain call.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ def classes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         second = data[lead + 1]
         kind[lead] = kind[lead + 1] = LATIN[second]
         low[lead[(second <= 0x9E) & (second != 0x97)] + 1] += 0x20
+    kind[:-1][(data[:-1] == 0x3C) & (data[1:] == 0x7C)] = HARD  # an added token may start here
     return kind, low
 
 
@@ -95,7 +97,8 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        if any(not t.content.startswith("<|") or t.lstrip or t.rstrip or t.single_word or any(map(str.isspace, t.content)) for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens must start with '<|' and stay within a white-space chunk")
         self.forget()
 
     def forget(self) -> None:

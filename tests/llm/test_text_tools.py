@@ -35,6 +35,16 @@ def test_ids_are_the_librarys(texts):
 test_ids_are_the_librarys.bpe = WordBpe(default_path())
 
 
+def test_written_added_tokens_are_those_of_a_plain_call():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(default_path())
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y1<|endoftext|>", "<|ENDOFTEXT|> a<|b |> <| <", "<|endof text|>", "it's<|endoftext|>É", "<|endoftext|><|endoftext|>\n<", "|", "a<"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    got = [ids[b[i] : b[i + 1]].tolist() for first, last, ids, b in WordBpe(default_path()).encode(pa.array(texts)) for i in range(last - first)]
+    assert got == want and want[0] == [320, 49407, 321]
+
+
 @settings(deadline=None)
 @given(any_text)
 def test_words_are_those_of_the_patterns(texts):
