@@ -8,10 +8,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Where the tables of stored() are.
+_TABLES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 #: Groups of a rank are cut so that none holds more than about 1/RANK_PARTS of the rows.
 RANK_PARTS = 1024
 
@@ -42,6 +45,30 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, read from a Parquet table written below the shared folder: lineage is cut, Spark knows the size, and drop_tables() can remove it."""
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _TABLES[out] = path
+    return out
+
+
+def renamed(table: DataFrame, out: DataFrame) -> DataFrame:
+    """out, a view of the stored table, as what drop_tables() is given from now on."""
+    if path := _TABLES.pop(table, None):
+        _TABLES[out] = path
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Removes tables that stored() wrote and nothing will read again; others are left alone."""
+    for df in tables:
+        if path := _TABLES.pop(df, None):
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def quiet_threads(keep_tokens: bool = False) -> None:
     """One thread a task: native libraries must not start more than Spark gave. A worker that did another operator's tasks
     before lets go of the token ids that it remembers, unless it needs them."""

@@ -2,11 +2,15 @@
 
 Texts are sets of five-word shingles. Sets that are equal are one node. A run of the join samples shared tokens (the
 smallest shingle under a random order) and splits the nodes by them, again and again, until a bucket is small enough to
-compare by brute force; runs repeat until a pair at the threshold is met with the target recall. A bucket that splitting
-can't shrink, because its sets resemble each other, is compared at once, in blocks of pairs of blocks, so no bucket is
-cut short and none has to fit into one task.
+compare by brute force; runs repeat until a pair at the threshold is met with the target recall.
 
-What a bucket finds are coarse links by signatures. Their connected clusters are then compared exactly, again in blocks:
+A large bucket is first compared with a few leaders, one comparison a row. Two signatures that may be of similar sets
+differ in at most `reach` places, so whatever is similar to a row within `reach` of a leader is within twice that: all of
+those are linked to the leader, and the row is done. Where the leader's near rows are no larger part of these the bucket
+goes on whole. A bucket whose rows all hang on one leader holds nothing new and ends. So a hot group of near copies costs
+a few comparisons a row, and no row is copied to more than the branches of its next level.
+
+What buckets find are coarse links by signatures. Their connected clusters are then compared exactly, in pairs of blocks:
 each node's shingles are read anew from the whole text, every pair within a cluster is counted once, and a block returns
 counts and a spanning forest of its links, never its pairs.
 """
@@ -20,10 +24,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainloom.llm.common import quiet_threads, settled
+from grainloom.llm.common import drop_tables, quiet_threads, stored
 from grainloom.llm.components import components
 from grainloom.llm.textbytes import mixed, slices, spans, word_hashes, words
 
@@ -36,7 +40,8 @@ class ChosenPaths:
     """threshold: least Jaccard similarity of a link. recall: least chance that a pair at the threshold meets in a bucket.
 
     branches: sampled tokens by which a node's bucket is split in a run. small: rows of a bucket that is compared by
-    brute force, and of a block of a larger one. alike: mean similarity from which a bucket isn't split further.
+    brute force. leaders: rows of a larger bucket that all its rows are compared with. block, block_shingles: rows and
+    shingles, about, of a block of the exact comparison.
     """
 
     threshold: float = 0.8
@@ -44,7 +49,9 @@ class ChosenPaths:
     words: int = 5
     branches: int = 2
     small: int = 128
-    alike: float = 0.5
+    leaders: int = 3
+    block: int = 1024
+    block_shingles: int = 1 << 19
 
     def lost(self) -> float:
         """The chance that a pair at the threshold never meets in one run, however deep: the branching process dies out."""
@@ -135,7 +142,7 @@ def _sketch(n: int):
                 node = [marks[i].tobytes() if full[i] else own[i] for i in range(len(own))]
                 packed = [sig[i].tobytes() if full[i] else None for i in range(len(own))]
                 part = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(node, pa.binary()), pa.array(packed, pa.binary())], ["doc_id", "text_key", "node", "sig"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(node, pa.binary()), pa.array(packed, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "text_key", "node", "sig", "shingles"])
 
     return sketch
 
@@ -181,32 +188,28 @@ def _edges_of(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _cross_edges(linked: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
-    """Links between two blocks that join what neither block joins by itself; (i, i) returns what joins a block."""
-    n = len(linked)
-    label, inner = np.full(n, -1), linked & (own[:, None] == own[None, :])
-    for start in range(n):
-        if label[start] < 0:
-            label[start], stack = start, [start]
-            while stack:
-                new = np.flatnonzero(inner[stack.pop()] & (label < 0))
-                label[new] = start
-                stack += new.tolist()
-    out, cross = [], linked & ~inner
-    for x in np.flatnonzero(own == own[0]) if n else ():
-        for y in np.flatnonzero(cross[x]):
-            if label[y] != label[x]:
-                out.append((int(x), int(y)))
-                label[label == label[y]] = label[x]
+def _cross_edges(linked: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links (row, column) between the rows of two blocks."""
+    seen = [np.zeros(n, bool) for n in linked.shape]
+    sides, out = (linked, linked.T), []
+    for start in range(len(linked)):
+        if seen[0][start]:
+            continue
+        seen[0][start], stack = True, [(0, start)]
+        while stack:
+            side, x = stack.pop()
+            new = np.flatnonzero(sides[side][x] & ~seen[1 - side])
+            seen[1 - side][new] = True
+            out += [(int(y), x) if side else (x, int(y)) for y in new]
+            stack += [(1 - side, int(y)) for y in new]
     return out
 
 
 _KEY = ["bucket", "i", "j"]
 
 
-def _blocks(rows: DataFrame, size: str, small: int, *carry: str) -> DataFrame:
-    """Rows (bucket, node, ...) dealt to pairs of blocks: every two rows of a bucket meet in exactly one (bucket, i, j), i <= j, or in (i, i) if of one block."""
-    blocks = F.ceil(F.col(size) / small).cast("int")
+def _blocks(rows: DataFrame, blocks: Column, *carry: str) -> DataFrame:
+    """Rows (bucket, node, ...) dealt to pairs of blocks: every two rows of a bucket meet in exactly one (bucket, i, j), i < j, or in (i, i) if of one block."""
     own = rows.withColumn("_nb", blocks).withColumn("_own", F.pmod(F.xxhash64("node", "bucket"), F.col("_nb")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_other")
     return own.select("bucket", "node", "_own", *carry, other).select("bucket", "node", "_own", *carry, F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
@@ -215,14 +218,10 @@ def _blocks(rows: DataFrame, size: str, small: int, *carry: str) -> DataFrame:
 def _coarse(least: int):
     def coarse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
-        for frame in _groups(batches, _KEY):
+        for frame in _groups(batches, ["bucket"]):
             sig = np.frombuffer(b"".join(frame["sig"]), np.uint32).reshape(len(frame), ORDERS)
-            node, own, out_a, out_b = frame["node"].to_numpy(), frame["_own"].to_numpy(), [], []
-            fresh = np.ones(len(frame), bool)
-            for k in _KEY:
-                v = frame[k].to_numpy()
-                fresh[1:] &= v[1:] == v[:-1]
-            at = [0, *np.flatnonzero(~fresh[1:]) + 1, len(frame)]
+            node, bucket, out_a, out_b = frame["node"].to_numpy(), frame["bucket"].to_numpy(), [], []
+            at = [0, *np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(frame)]
             for s, e in zip(at, at[1:], strict=False):
                 if e - s == 2:
                     if (sig[s] == sig[s + 1]).sum() >= least:
@@ -233,9 +232,7 @@ def _coarse(least: int):
                     for k in range(ORDERS):
                         v = sig[s:e, k]
                         equal += v[:, None] == v[None, :]
-                    linked = equal >= least
-                    across = frame["i"].iat[s] != frame["j"].iat[s]
-                    for a, b in _cross_edges(linked, own[s:e]) if across else _edges_of(linked):
+                    for a, b in _edges_of(equal >= least):
                         out_a.append(node[s + a])
                         out_b.append(node[s + b])
             if out_a:
@@ -244,27 +241,43 @@ def _coarse(least: int):
     return coarse
 
 
-def _meet(shingles: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, by products of 0/1 matrices over the shingles that at least two sets have."""
-    n = len(shingles)
-    flat = np.concatenate(shingles) if n else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(n), [len(s) for s in shingles])
+def _to_leaders(n: int):
+    """Adds to each row in how many places its signature equals that of each leader of its bucket."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads()
+        read = lambda column: np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, ORDERS)
+        for batch in batches:
+            sig = read(batch.column("sig"))
+            equal = [pa.array((sig == read(batch.column(f"_sig{k}"))).sum(1), pa.int32()) for k in range(n)]
+            kept = ["node", "run", "bucket", "head", "sig", *(f"_lead{k}" for k in range(n))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *equal], [*kept, *(f"_eq{k}" for k in range(n))])
+
+    return compared
+
+
+def _meet(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of all intersections of left with right (or with itself), by products of 0/1 matrices over the shingles that two sets have."""
+    n, sets = len(left), [*left, *(right or ())]
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     new = np.ones(len(flat), bool)
     new[1:] = flat[1:] != flat[:-1]
     code = np.cumsum(new) - 1
     often = np.bincount(code) > 1
+    if right is not None:  # only what both sides have
+        often = (np.bincount(code, owner < n) > 0) & (np.bincount(code, owner >= n) > 0)
     keep = often[code]
     code, owner = (np.cumsum(often) - 1)[code[keep]], owner[keep]
-    out = np.zeros((n, n), np.float32)
-    at = 0
-    width = 4096
+    out = np.zeros((n, n if right is None else len(right)), np.float32)
+    at, width = 0, 4096
     for first in range(0, int(often.sum()), width):
         to = int(np.searchsorted(code, first + width))
-        have = np.zeros((n, width), np.float32)
+        have = np.zeros((len(sets), min(width, int(often.sum()) - first)), np.float32)
         have[owner[at:to], code[at:to] - first] = 1
-        out += have @ have.T
+        out += have[:n] @ (have if right is None else have[n:]).T
         at = to
     return out
 
@@ -275,108 +288,154 @@ def _exact(threshold: float):
         for frame in _groups(batches, _KEY):
             for (_, i, j), part in frame.groupby(_KEY, sort=False):
                 part = part.drop_duplicates("node")  # a row that repeats both id and text comes as often as it stands
-                sets = [np.frombuffer(s, np.uint64) for s in part["shingles"]]
-                sizes = np.array([len(s) for s in sets])
-                both = _meet(sets)
-                linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-6
-                np.fill_diagonal(linked, False)
+                sides = [part] if i == j else [part[part["_own"] == i], part[part["_own"] == j]]
+                if not all(map(len, sides)):
+                    continue
+                sets = [[np.frombuffer(s, np.uint64) for s in side["shingles"]] for side in sides]
+                sizes = [np.array([len(s) for s in own]) for own in sets]
+                both = _meet(*sets)
+                linked = both >= threshold * (sizes[0][:, None] + sizes[-1][None, :] - both) - 1e-6
                 if i == j:
-                    counted, forest = linked, _edges_of(linked)
-                else:  # pairs of one block are counted in (i, i)
-                    own = part["_own"].to_numpy()
-                    counted, forest = linked & (own[:, None] != own[None, :]), _cross_edges(linked, own)
-                copies = part["copies"].to_numpy()
-                node = part["node"].to_numpy()
-                texts, docs = counted.sum(1), counted @ copies
-                a = [*node, *(node[x] for x, _ in forest)]
-                b = [*(None for _ in node), *(node[y] for _, y in forest)]
+                    np.fill_diagonal(linked, False)
+                forest = _edges_of(linked) if i == j else _cross_edges(linked)
+                nodes, copies = [side["node"].to_numpy() for side in sides], [side["copies"].to_numpy() for side in sides]
+                texts, docs = linked.sum(1), linked @ copies[-1]
+                a, b = [*nodes[0]], [nodes[-1][y] for _, y in forest]
+                if i != j:
+                    texts, docs, a = np.concatenate((texts, linked.sum(0))), np.concatenate((docs, copies[0] @ linked)), [*a, *nodes[1]]
+                some = np.flatnonzero(texts)
                 pad = [0] * len(forest)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([*texts.tolist(), *pad], pa.int64()), pa.array([*docs.tolist(), *pad], pa.int64())], ["a", "b", "texts", "docs"])
+                columns = [pa.array([*(a[x] for x in some), *(nodes[0][x] for x, _ in forest)], pa.binary()), pa.array([*(None for _ in some), *b], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([*texts[some].tolist(), *pad], pa.int64()), pa.array([*docs[some].tolist(), *pad], pa.int64())], ["a", "b", "texts", "docs"])
 
     return exact
 
 
-def _buckets(sketches: DataFrame, how: ChosenPaths) -> DataFrame:
-    """(bucket, node, size, sig): the buckets to compare, each with at least two nodes; level by level."""
-    per_level = how.runs() * how.branches
-    place = lambda sig, k: F.substring(sig, F.lit(1) + k * 4, F.lit(4))
-    first = sketches.select("node", F.explode(F.array(*(F.struct(F.lit(k // how.branches).alias("run"), F.xxhash64(F.lit(k), F.substring("sig", 1 + 4 * k, 4)).alias("bucket")) for k in range(per_level)))).alias("_x"))
+def _first_level(sketches: DataFrame, how: ChosenPaths) -> DataFrame:
+    """(bucket, run, node, size) of the first level's buckets of at least two nodes."""
+    orders = how.runs() * how.branches
+    first = sketches.select("node", F.explode(F.array(*(F.struct(F.lit(k // how.branches).alias("run"), F.xxhash64(F.lit(k), F.substring("sig", 1 + 4 * k, 4)).alias("bucket")) for k in range(orders)))).alias("_x"))
     rows = first.select("node", "_x.run", "_x.bucket")
     counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = settled(rows.join(counts, "bucket"))
-    done = [rows.where(F.col("size") <= how.small)]
+    return rows.join(counts, "bucket")
+
+
+def _led(held: DataFrame, how: ChosenPaths, tables: list[DataFrame]) -> DataFrame:
+    """Rows (node, run, bucket, head, sig) with `_lead` (the bucket's best leader), `_eq` (places equal to it) and `_alike` (its near rows are at least half of those within twice the reach)."""
+    every = range(how.leaders)
+    pick = [F.min(F.struct(F.col("head").isNotNull(), F.xxhash64("node", F.lit(k)), F.col("node").alias("n"), F.col("sig").alias("s"))).alias(f"_l{k}") for k in every]
+    # small next to what it is joined with; Spark broadcasts it only where its files are small, and splits a hot bucket else
+    leads = stored(held.groupBy("bucket").agg(*pick).select("bucket", *(F.col(f"_l{k}.n").alias(f"_lead{k}") for k in every), *(F.col(f"_l{k}.s").alias(f"_sig{k}") for k in every)))
+    kinds = ["node binary", "run int", "bucket long", "head binary", "sig binary", *(f"_lead{k} binary" for k in every), *(f"_eq{k} int" for k in every)]
+    compared = stored(held.join(leads, "bucket").mapInArrow(_to_leaders(how.leaders), ", ".join(kinds)))
+    near, wide = how.least_equal(), 2 * how.least_equal() - ORDERS
+    score = [F.struct(F.count(F.when(F.col(f"_eq{k}") >= near, 1)).alias("near"), F.count(F.when(F.col(f"_eq{k}") >= wide, 1)).alias("wide"), F.lit(k).alias("k")) for k in every]
+    fit = [F.struct((2 * F.col(f"_s{k}.near") >= F.col(f"_s{k}.wide")).alias("alike"), F.col(f"_s{k}.near").alias("near"), F.lit(k).alias("k")) for k in every]
+    best = compared.groupBy("bucket").agg(*(s.alias(f"_s{k}") for k, s in enumerate(score))).select("bucket", F.greatest(*fit).alias("_b") if how.leaders > 1 else fit[0].alias("_b"))
+    best = stored(best.select("bucket", F.col("_b.alike").alias("_alike"), F.col("_b.k").alias("_k")))
+    tables += [leads, compared, best]
+    of = lambda name: F.element_at(F.array(*(F.col(f"{name}{k}") for k in every)), F.col("_k") + 1)
+    return compared.join(best, "bucket").select("node", "run", "bucket", "head", "sig", of("_lead").alias("_lead"), of("_eq").alias("_eq"), "_alike")
+
+
+def _coarse_links(sketches: DataFrame, how: ChosenPaths) -> tuple[DataFrame, list[DataFrame]]:
+    """(a, b): links that connect whatever may be similar, level by level; and the tables that they are read from."""
+    near, wide = how.least_equal(), 2 * how.least_equal() - ORDERS
+    orders, tables, links = how.runs() * how.branches, [], []
+
+    def brute(rows: DataFrame) -> DataFrame:
+        small = rows.select("bucket", "node", "sig").repartition("bucket").sortWithinPartitions("bucket")
+        return small.mapInArrow(_coarse(how.least_equal()), "a binary, b binary")
+
+    rows = stored(_first_level(sketches, how))
+    tables.append(rows)
+    links.append(brute(rows.where(F.col("size") <= how.small).join(sketches, "node")))
     rows = rows.where(F.col("size") > how.small)
+    if rows.isEmpty():
+        return links[0], tables
+    rows = stored(rows.join(sketches, "node").select("node", "run", "bucket", F.lit(None).cast("binary").alias("head"), "sig"))
+    tables.append(rows)
     for level in range(1, how.levels()):
+        led = _led(rows, how, tables)
+        links.append(led.where(F.col("_alike") & (F.col("_eq") >= wide) & (F.col("node") != F.col("_lead"))).select(F.col("_lead").alias("a"), F.col("node").alias("b")))
+        rest = led.where(~F.col("_alike") | (F.col("_eq") < near))
+        order = F.lit(level * orders) + F.col("run") * how.branches + F.col("_j")
+        head = F.when(F.col("_alike") & (F.col("_eq") >= wide), F.col("_lead")).otherwise(F.col("head")).alias("head")
+        split = rest.select("node", "run", "bucket", head, "sig", F.explode(F.sequence(F.lit(0), F.lit(how.branches - 1))).alias("_j"))
+        split = split.select("node", "run", F.xxhash64("bucket", "_j", F.substring("sig", F.lit(1) + order * 4, F.lit(4))).alias("bucket"), "head", "sig")
+        # rows that hang on one leader are linked already
+        fresh = (F.count("head") < F.count(F.lit(1))) | (F.min("head") != F.max("head"))
+        sizes = split.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), fresh.alias("_fresh")).where("size > 1 AND _fresh").select("bucket", "size")
+        rows = stored(split.join(sizes, "bucket"))
+        tables.append(rows)
+        links.append(brute(rows.where(F.col("size") <= how.small)))
+        rows = rows.where(F.col("size") > how.small).drop("size")
         if rows.isEmpty():
-            return _with_sig(done, sketches)
-        held = settled(rows.join(sketches.select("node", "sig"), "node"))
-        picks = F.sequence(F.lit(0), F.lit(how.branches - 1))
-        order = F.lit(level * per_level) + F.col("run") * how.branches + F.col("_j")
-        split = held.select("node", "run", F.col("bucket").alias("_parent"), F.col("size").alias("_whole"), "sig", F.explode(picks).alias("_j"))
-        split = split.select("node", "run", "_parent", "_whole", F.xxhash64("_parent", "_j", place(F.col("sig"), order)).alias("bucket"))
-        sizes = split.groupBy("_parent", "_whole", "bucket").agg(F.count(F.lit(1)).alias("size"))
-        squares = F.sum(F.col("size").cast("double") * F.col("size"))
-        parents = sizes.groupBy("_parent", "_whole").agg(squares.alias("_squares")).select("_parent", (F.col("_squares") / (F.col("_whole").cast("double") * F.col("_whole") * how.branches)).alias("_mean"))
-        parents = settled(parents)
-        # sets of a bucket that resemble each other would stay together: compare them now
-        alike = parents.where(F.col("_mean") >= how.alike).select(F.col("_parent").alias("bucket"))
-        done.append(held.join(alike, "bucket", "left_semi").select("node", "run", "bucket", "size"))
-        go = parents.where(F.col("_mean") < how.alike).select("_parent")
-        live = sizes.where("size > 1").join(go, "_parent", "left_semi").select("bucket", "size")
-        rows = settled(split.select("node", "run", "bucket").join(live, "bucket"))
-        done.append(rows.where(F.col("size") <= how.small))
-        rows = rows.where(F.col("size") > how.small)
-    done.append(rows)
-    return _with_sig(done, sketches)
-
-
-def _with_sig(done: list[DataFrame], sketches: DataFrame) -> DataFrame:
-    out = done[0].select("bucket", "node", "size")
-    for more in done[1:]:
-        out = out.union(more.select("bucket", "node", "size"))
-    return out.join(sketches.select("node", "sig"), "node")
+            break
+    else:
+        # out of orders: what is left of a bucket is one cluster, which the exact comparison parts again
+        last = rows.groupBy("bucket").agg(F.min("node").alias("a"))
+        links.append(rows.join(last, "bucket").where(F.col("a") != F.col("node")).select("a", F.col("node").alias("b")))
+    out = links[0]
+    for more in links[1:]:
+        out = out.union(more)
+    return out, tables
 
 
 def _sorted_blocks(dealt: DataFrame) -> DataFrame:
     return dealt.repartition(*_KEY).sortWithinPartitions(*_KEY)
 
 
-def _classified(docs: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, text_key, node) of docs, and nodes with label, copies and their links; both with cut lineage."""
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"), *more).withColumn("text_key", F.unhex(F.md5("text")))
+
+
+def _classified(docs: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """members (doc_id, text_key, node) of docs; nodes (node, pick: the least row, copies); labels (node, label) of nodes
+    with links; links (node, texts, docs). All have cut lineage, but for links, which read a table."""
+    keyed = _keyed(docs)
     kind = dict(docs.dtypes)["doc_id"]
-    members = settled(keyed.mapInArrow(_sketch(how.words), f"doc_id {kind}, text_key binary, node binary, sig binary"))
-    # pick: one text of each node; all texts of a node have equal sets
-    pick = F.min(F.struct(F.col("doc_id").alias("pick_id"), F.col("text_key").alias("pick_key")))
-    nodes = settled(members.groupBy("node").agg(F.min("doc_id").alias("rep"), pick.alias("_pick"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig")).select("node", "rep", "_pick.*", "copies", "sig"))
-    buckets = _buckets(nodes.where("sig IS NOT NULL").select("node", "sig"), how)
-    coarse = _sorted_blocks(_blocks(buckets, "size", how.small, "sig").select(*_KEY, "node", "_own", "sig")).mapInArrow(_coarse(how.least_equal()), "a binary, b binary")
-    clusters = components(coarse).withColumnRenamed("label", "bucket")
-    sizes = clusters.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    inside = clusters.join(sizes, "bucket").join(nodes.select("node", "pick_id", "pick_key", "copies"), "node")
-    wanted = keyed.join(inside, keyed["doc_id"].eqNullSafe(inside["pick_id"]) & (keyed["text_key"] == inside["pick_key"]))
-    sets = wanted.select("bucket", "node", "size", "copies", "text").mapInArrow(_sets(how.words), "bucket binary, node binary, size long, copies long, shingles binary")
-    dealt = _blocks(sets, "size", how.small, "copies", "shingles").select(*_KEY, "node", "_own", "copies", "shingles")
-    found = settled(_sorted_blocks(dealt).mapInArrow(_exact(how.threshold), "a binary, b binary, texts long, docs long"))
+    members = stored(keyed.select("doc_id", "text", "text_key").mapInArrow(_sketch(how.words), f"doc_id {kind}, text_key binary, node binary, sig binary, shingles long"))
+    # pick: one row of each node; all texts of a node have equal sets
+    pick = F.min(F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
+    nodes = stored(members.groupBy("node").agg(pick.alias("pick"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig"), F.min("shingles").alias("shingles")))
+    coarse, tables = _coarse_links(nodes.where("sig IS NOT NULL").select("node", "sig"), how)
+    clusters = components(coarse)
+    drop_tables(*tables)
+    inside = stored(clusters.withColumnRenamed("label", "bucket").join(nodes.select("node", "pick", "copies", "shingles"), "node"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / how.block, F.sum("shingles") / how.block_shingles)).cast("int")
+    sizes = stored(inside.groupBy("bucket").agg(blocks.alias("blocks")))
+    wanted = inside.join(sizes, "bucket").select("bucket", "node", "copies", "blocks", F.col("pick.id").alias("_id"), F.col("pick.key").alias("_key"))
+    wanted = keyed.join(wanted, keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["text_key"] == F.col("_key")))
+    sets = wanted.select("bucket", "node", "blocks", "copies", "text").mapInArrow(_sets(how.words), "bucket binary, node binary, blocks int, copies long, shingles binary")
+    dealt = _blocks(sets, F.col("blocks"), "copies", "shingles").select(*_KEY, "node", "_own", "copies", "shingles")
+    found = stored(_sorted_blocks(dealt).mapInArrow(_exact(how.threshold), "a binary, b binary, texts long, docs long"))
+    drop_tables(clusters, inside, sizes)
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     labels = components(found.where("b IS NOT NULL").select("a", "b"))
-    classed = nodes.select("node", "rep", "copies").join(labels, "node", "left").join(links, "node", "left")
-    classed = classed.select("node", "rep", "copies", F.coalesce("label", "node").alias("label"), F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("docs", F.lit(0)).alias("docs"))
-    return members.select("doc_id", "text_key", "node"), settled(classed)
+    return members.select("doc_id", "text_key", "node"), nodes.select("node", "pick", "copies"), labels, links
 
 
 def jaccard_classes(docs: DataFrame, how: ChosenPaths | None = None) -> DataFrame:
-    """One row for each row of docs (doc_id, text; other columns are ignored).
+    """One row for each row of docs (doc_id, text; other columns are ignored, whatever their names).
 
     Returns doc_id, class_id (the least doc_id of its connected class), class_size (rows of the class), n_links (other
     rows that are equal or similar to it), n_text_links (similar nodes: sets of shingles that differ from its own).
     Texts without words (null counts as empty) are linked only to equal texts. Repeated rows are copies of each other.
-    A null doc_id is kept; class_id is null if all of the class are. An empty table gives no rows.
+    Texts of any length are compared as a whole; pairs at exactly the threshold are links. A null doc_id is kept; class_id
+    is null if all of the class are. An empty table gives no rows.
     """
-    members, classed = _classified(docs, how or ChosenPaths())
-    heads = classed.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
-    of = classed.join(heads, "label").select("node", "class_id", "class_size", (F.col("docs") + F.col("copies") - 1).alias("n_links"), F.col("texts").alias("n_text_links"))
-    return members.join(of, "node").select("doc_id", "class_id", "class_size", "n_links", "n_text_links")
+    members, nodes, labels, links = _classified(docs, how or ChosenPaths())
+    own = nodes.select("node", F.col("pick.id").alias("_id"), "copies")
+    linked = stored(labels.join(own, "node"))
+    heads = stored(linked.groupBy("label").agg(F.min("_id").alias("_class"), F.sum("copies").alias("_size")))
+    of = linked.join(heads, "label").select("node", F.lit(True).alias("_in"), "_class", "_size")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    classed = own.join(of, "node", "left").join(links, "node", "left").select(
+        "node", F.when(F.col("_in"), F.col("_class")).otherwise(F.col("_id")).alias("class_id"), F.coalesce("_size", "copies").alias("class_size"),
+        (zero("docs") + F.col("copies") - 1).alias("n_links"), zero("texts").alias("n_text_links"),
+    )
+    return members.join(stored(classed), "node").select("doc_id", "class_id", "class_size", "n_links", "n_text_links")
 
 
 def _sets(n: int):
@@ -386,24 +445,25 @@ def _sets(n: int):
             for first, last, shingles, bounds in shingle_sets(batch.column("text"), n):
                 packed = [shingles[s:e].tobytes() for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 part = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("bucket", "node", "size", "copies")), pa.array(packed, pa.binary())], ["bucket", "node", "size", "copies", "shingles"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("bucket", "node", "blocks", "copies")), pa.array(packed, pa.binary())], ["bucket", "node", "blocks", "copies", "shingles"])
 
     return sets
 
 
 def keep_one(docs: DataFrame, how: ChosenPaths | None = None) -> DataFrame:
-    """docs with one row of each class: that of the least doc_id, and of those the least text hash; all columns stay.
+    """docs with one row of each class: that of the least doc_id, and of those the least text hash; all columns stay, whatever their names.
 
-    Null ids come after all others. Rows that repeat both id and text are one row afterwards.
+    Null ids come after all others; a null text is empty, and texts without words are in one class only with equal ones.
+    Rows that repeat both id and text are one row afterwards. An empty table gives no rows.
     """
-    members, classed = _classified(docs, how or ChosenPaths())
-    labelled = members.join(classed.select("node", "label"), "node")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("_no"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
-    heads = settled(labelled.groupBy("label").agg(least.alias("_head")).select("_head._id", "_head._key"))
-    keyed = docs.withColumn("_text_key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    kept = keyed.join(heads, keyed["doc_id"].eqNullSafe(heads["_id"]) & (F.col("_text_key") == F.col("_key")), "left_semi")
+    members, nodes, labels, _ = _classified(docs, how or ChosenPaths())
+    least = F.min("pick").alias("pick")
+    heads = stored(nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(least).select("pick.id", "pick.key"))
+    # docs' own columns travel in a struct, so none of their names can meet one of these
+    keyed = _keyed(docs, F.struct(*(docs[c] for c in docs.columns)).alias("whole"))
+    kept = keyed.join(heads, keyed["doc_id"].eqNullSafe(heads["id"]) & (keyed["text_key"] == heads["key"]), "left_semi")
     # only rows that repeat an id and a text could be kept twice
-    repeated = members.join(heads, members["doc_id"].eqNullSafe(heads["_id"]) & (members["text_key"] == heads["_key"]), "left_semi").groupBy("doc_id", "text_key").count().where("count > 1")
+    repeated = members.groupBy("doc_id", "text_key").count().where("count > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_text_key"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["doc_id", "text_key"])
+    return kept.select("whole.*")
