@@ -87,8 +87,9 @@ def gapless_rank(df: DataFrame, group: str, sizes: Mapping[int, int], order: lis
 
     sizes: rows of each group; the caller bounds the number of groups. A group is cut by a hash of `order` into as many
     parts as its share of all rows asks for, each part is numbered by itself and shifted by the parts before it, so the
-    largest window holds about 1/RANK_PARTS of the rows however hot a group is. Rows that tie in all of `order` must be
-    interchangeable. df is read twice: give one whose lineage is cut.
+    largest window holds about 1/RANK_PARTS of the rows however hot a group is. So that rows repeated as a whole are cut
+    too, `order` ends with a column that tells rows apart, as `_tie` of monotonically_increasing_id(). df is read twice:
+    give one whose lineage was cut after that column came.
     """
     spark, total = df.sparkSession, max(1, sum(sizes.values()))
     parts = spark.createDataFrame([(int(g), max(1, -(-RANK_PARTS * n // total))) for g, n in sizes.items()], "_g long, _parts long")

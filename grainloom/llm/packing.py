@@ -208,13 +208,13 @@ def pack(docs: DataFrame, room: int = ROOM, tokenizer: str | None = None, keep_i
     stay null. An empty table gives no rows.
     """
     cut = pieces(docs, room, tokenizer)
-    cut = settled(cut if keep_ids else cut.drop("ids"))
+    cut = settled((cut if keep_ids else cut.drop("ids")).withColumn("_tie", F.monotonically_increasing_id()))
     # at most `room` rows
     sizes = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = np.zeros(room + 1, np.int64)
     counts[list(sizes)] = list(sizes.values())
     at = places(solve(counts, room))
-    order = [F.col(c) for c in ("doc_id", "piece", "ids_crc32")]
+    order = [F.col(c) for c in ("doc_id", "piece", "ids_crc32", "_tie")]
     ranked = gapless_rank(cut, "length", sizes, order, "_rank")
     kind = dict(cut.dtypes)["doc_id"]
     first = np.searchsorted(at["length"], np.arange(room + 2))

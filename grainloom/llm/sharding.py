@@ -37,7 +37,7 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     another number of shards). Repeated rows and null ids are rows like all others; an empty table gives none.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text)).alias("_key"))
+    rows = docs.select("doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text)).alias("_key"), F.monotonically_increasing_id().alias("_tie"))
     rows = settled(rows)
     groups = rows.groupBy("_key").agg(F.sum("size").alias("_bytes"))
     total = rows.agg(F.sum("size")).first()[0] or 0
@@ -51,7 +51,7 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     light = spark.createDataFrame([(int(u), s) for u, s in placed.items() if len(u) != 32], T.StructType([T.StructField("_b", T.LongType()), T.StructField("_light", T.IntegerType())]))
     # both tables are bounded by HEAVY and BUNDLES
     dealt = rows.join(F.broadcast(heavy), F.hex("_key") == F.col("_u"), "left").join(F.broadcast(light), F.pmod(F.xxhash64("_key"), F.lit(BUNDLES)) == F.col("_b"), "left")
-    dealt = dealt.select("doc_id", "size", "text_crc32", F.coalesce("_heavy", "_light").alias("shard"))
+    dealt = dealt.select("doc_id", "size", "text_crc32", "_tie", F.coalesce("_heavy", "_light").alias("shard"))
     counts = {r["shard"]: r["n"] for r in dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ranked = gapless_rank(dealt, "shard", counts, [F.col(c) for c in ("doc_id", "text_crc32", "size")], "slot")
+    ranked = gapless_rank(dealt, "shard", counts, [F.col(c) for c in ("doc_id", "text_crc32", "size", "_tie")], "slot")
     return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

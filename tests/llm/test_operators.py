@@ -535,6 +535,20 @@ def test_mix_meets_its_targets(sourced, docs, none):
     assert ids(mixing.mix(docs)) == ALL_IDS and mixing.mix(none).count() == 0
 
 
+def test_mix_meets_targets_on_null_repeated_and_few_documents(spark):
+    """500 null ids, one id 300 times, a source of one text; and the small table, where a source has ten documents."""
+    data = [(None, "w " * 100, "b") for _ in range(500)] + [(k, "w " * (10 + k % 90), "a") for k in range(400)] + [(7, "x " * 50, "c") for _ in range(300)] + [(k, "y " * (5 + k % 70), None) for k in range(300)]
+    for part in (spark.createDataFrame(data, "doc_id long, text string, source string").repartition(5), spark.read.parquet("/root/testdata/sf0.001/documents.parquet")):
+        by = mixing.mix(part).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most")).collect()
+        assert all(r["most"] <= 2 for r in by)
+        assert all(abs(r["taken"] - r["target"]) <= max(50, 0.01 * r["target"]) for r in by if r["source"] in ("a", "b", "c", None))
+        assert all(abs(r["taken"] - r["target"]) <= 0.01 * r["target"] for r in by if r["source"] and r["source"].startswith("src"))
+    hot = spark.createDataFrame(data, "doc_id long, text string, source string")
+    taken = mixing.mix(hot).agg(F.sum("taken")).first()[0]
+    assert taken == mixing.mix(hot.repartition(3)).agg(F.sum("taken")).first()[0]
+    assert mixing.mixed(hot).select(F.sum(F.size(F.split(F.trim("text"), " ")))).first()[0] == taken
+
+
 def test_rates_are_exponentially_tilted(sourced):
     """log(rate) / size is one number for all documents of a source below the cap: the dual's solution."""
     _, df = sourced
