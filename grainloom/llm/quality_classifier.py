@@ -2,16 +2,18 @@
 
 A linear model of text features f gives s = w . f. With the logistic loss, the unbiased risk of a class prior p is
 p * mean(loss(s), positives) + [mean(loss(-s), unlabelled) - p * mean(loss(-s), positives)]; the bracket estimates the
-negatives' risk and can't truly be below 0. Newton's steps lower the sum while the bracket is positive; where it falls
-below 0, the step lowers the positives' part alone and turns back along the bracket, so nothing is gained by overfitting.
+negatives' risk and can't truly be below 0, so where it falls below, it counts as 0 and nothing is gained by overfitting.
+Newton's steps of both sides of that place and along it, each in several lengths, are tried; the one of least risk is taken.
 
 The unlabelled part runs over every text in each step, as sums that tasks form and an aggregate adds up; the trusted
 positives are a bounded sample. The prior is estimated from scores of a first fit of positives against unlabelled text:
-the least ratio, over thresholds, of the unlabelled share above it to the positives' share above it.
+the least ratio, over thresholds, of the unlabelled share above it to the positives' share above it. There a positive
+scores as if it had been left out of that fit, or few positives would look better than those that nobody has marked.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,8 +28,9 @@ from grainloom.llm.textbytes import SOLID, slices, word_hashes, words
 
 #: Trusted positives that a fit uses at most: those of the least hash.
 POSITIVES = 20_000
-#: Newton's steps of each fit at most; ridge penalty on weights of standardised features; cells of a score histogram.
-STEPS, RIDGE, CELLS = 12, 1e-3, 512
+#: Newton's steps of each fit at most; lengths of a step that are tried at once; ridge penalty on weights of standardised
+#: features; cells of a score histogram.
+STEPS, TRIED, RIDGE, CELLS = 25, 8, 1e-3, 512
 
 FEATURES = (
     "log_words", "mean_word", "upper", "digit", "sentence_marks", "shouts", "symbols", "bars", "other_marks", "space",
@@ -154,15 +157,22 @@ class Model:
         return _sigmoid(_expanded(f, self.mean, self.scale) @ self.weights)
 
 
-def _fit(unlabelled: DataFrame, positives: np.ndarray, mean: np.ndarray, scale: np.ndarray, prior: float | None) -> np.ndarray:
-    """Weights. With no prior, positives are told from unlabelled text as if that were all negative, each side weighing the same."""
+def _fit(unlabelled: DataFrame, positives: np.ndarray, mean: np.ndarray, scale: np.ndarray, prior: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights, and the curvature of the risk there. With no prior, positives are told from unlabelled text as if that were all negative, each side weighing the same."""
     x = _expanded(positives, mean, scale)
     d = x.shape[1]
-    w = np.zeros(d)
-    ridge = np.full(d, RIDGE + 0.5 / len(positives))
+    w, best = np.zeros(d), np.inf
+    ridge = np.full(d, RIDGE + 1 / len(positives))
     ridge[-1] = 1e-6
     upper = np.triu_indices(d)
-    best, kept = np.inf, w
+
+    def whole(at: np.ndarray, u_risk: np.ndarray) -> np.ndarray:
+        """The risk of each column of weights, given the unlabelled part's."""
+        s = x @ at
+        plus, minus = _softplus(-s).mean(0), _softplus(s).mean(0)
+        parts = plus + u_risk if prior is None else prior * plus + np.maximum(0.0, u_risk - prior * minus)
+        return parts + (ridge[:, None] * at * at).sum(0) / 2
+
     for _ in range(STEPS):
         at = w.copy()
 
@@ -181,43 +191,46 @@ def _fit(unlabelled: DataFrame, positives: np.ndarray, mean: np.ndarray, scale:
         u_hess = u_hess + np.triu(u_hess, 1).T
         s = x @ w
         q = _sigmoid(s)
-        plus, minus = _softplus(-s).mean(), _softplus(s).mean()
         plus_grad, minus_grad = -((1 - q)[:, None] * x).mean(0), (q[:, None] * x).mean(0)
         p_hess = (x * (q * (1 - q))[:, None]).T @ x / len(x)
-        if prior is None:
-            risk, grad, hess = plus + u_risk, plus_grad + u_grad, p_hess + u_hess
-        else:
-            negative = u_risk - prior * minus
-            risk = prior * plus + max(0.0, negative)
-            if negative >= 0:
-                grad, hess = prior * (plus_grad - minus_grad) + u_grad, u_hess
-            else:
-                grad, hess = prior * plus_grad - (u_grad - prior * minus_grad), prior * p_hess + u_hess
-        risk += (ridge * w * w).sum() / 2
-        if risk < best - 1e-7:
-            best, kept = risk, at
-        elif best < np.inf:
-            # no gain: half the way back to the best so far, or stop where that is near
-            if np.abs(w - kept).max() < 1e-3:
-                break
-            w = (w + kept) / 2
-            continue
-        step = np.linalg.solve(hess + np.diag(ridge + 1e-9), grad + ridge * w)
-        w = w - step * min(1.0, 4.0 / max(1e-12, np.abs(step).max()))
-        if np.abs(step).max() < 1e-4:
-            kept = w
-            break
-    return kept
+        # the two sides of the place where the bracket is 0: with it, and with the positives' part alone
+        sides = [(plus_grad + u_grad, p_hess + u_hess)] if prior is None else [(prior * (plus_grad - minus_grad) + u_grad, u_hess), (prior * plus_grad, prior * p_hess)]
+        bends = [hess + np.diag(ridge + 1e-9) for _, hess in sides]
+        best = min(best, whole(w[:, None], np.array([u_risk]))[0])
+        ways = [np.linalg.solve(bend, grad + ridge * w) for bend, (grad, _) in zip(bends, sides, strict=True)]
+        if prior is not None:
+            # and along that place: the positives' part falls while the bracket, to first order, goes to 0
+            a, c = u_grad - prior * minus_grad, u_risk - prior * _softplus(s).mean()
+            bend = sum(bends) / 2
+            free, held = np.linalg.solve(bend, sides[1][0] + ridge * w), np.linalg.solve(bend, a)
+            ways.append(free - held * ((a @ free - c) / max(1e-12, a @ held)))
+        ways = [way * min(1.0, 4.0 / max(1e-12, np.abs(way).max())) for way in ways]
+        # all lengths of step are tried in one pass
+        tried = np.stack([w - way * 0.5**k for way in ways for k in range(TRIED)], axis=1)
+        risks = whole(tried, _summed(unlabelled, lambda f, tried=tried: _softplus(_expanded(f, mean, scale) @ tried).sum(0)) / n)
+        if risks.min() >= best - 1e-6:
+            return w, bends[0]
+        w, best = tried[:, risks.argmin()], risks.min()
+    warnings.warn(f"the fit had not come to rest after {STEPS} steps", stacklevel=2)
+    return w, bends[0]
+
+
+def left_out(x: np.ndarray, weights: np.ndarray, bend: np.ndarray) -> np.ndarray:
+    """Scores of the positives x, each by the weights that a fit without it comes to: one Newton's step back from the whole fit's."""
+    s = x @ weights
+    q = _sigmoid(s)
+    reach = np.einsum("ij,ij->i", x, np.linalg.solve(bend, x.T).T) / len(x)
+    return _sigmoid(s - reach * (1 - q) / np.maximum(1e-3, 1 - reach * q * (1 - q)))
 
 
 def estimate_prior(above_unlabelled: np.ndarray, above_positive: np.ndarray, n_unlabelled: float, n_positive: float) -> float:
     """The least upper estimate of the positives' share, over thresholds; arrays hold how many of each score above them.
 
-    A threshold's ratio gets three standard errors of both shares added, so one with few positives above it can't win by chance.
+    A threshold's ratio gets a standard error of both shares added, so one with few positives above it can't win by chance.
     """
     u, p = above_unlabelled / n_unlabelled, above_positive / n_positive
     sure = p > 0.05
-    error = 3 * (np.sqrt(u * (1 - u) / n_unlabelled) + np.sqrt(p * (1 - p) / n_positive))
+    error = (np.sqrt(u * (1 - u) / n_unlabelled) + np.sqrt(p * (1 - p) / n_positive))
     ratio = ((u + error)[sure] / p[sure]) if sure.any() else np.ones(1)
     return float(np.clip(ratio.min(), 0.01, 0.99))
 
@@ -229,14 +242,16 @@ def train(rows: DataFrame, positives: np.ndarray) -> Model:
     n, mean = sums[0], sums[1 : 1 + d] / sums[0]
     scale = np.sqrt(np.maximum(sums[1 + d :] / n - mean * mean, 0))
     scale[scale < 1e-6] = 1
-    first = Model(mean, scale, _fit(rows, positives, mean, scale, None), 0.5)
+    weights, bend = _fit(rows, positives, mean, scale, None)
+    first = Model(mean, scale, weights, 0.5)
 
-    def histogram(f: np.ndarray) -> np.ndarray:
-        return np.bincount(np.minimum((first.score(f) * CELLS).astype(np.int64), CELLS - 1), minlength=CELLS).astype(np.float64)
+    def histogram(score: np.ndarray) -> np.ndarray:
+        return np.bincount(np.minimum((score * CELLS).astype(np.int64), CELLS - 1), minlength=CELLS).astype(np.float64)
 
     up = lambda cells: np.cumsum(cells[::-1])[::-1]
-    prior = estimate_prior(up(_summed(rows, histogram)), up(histogram(positives)), n, len(positives))
-    return Model(mean, scale, _fit(rows, positives, mean, scale, prior), prior)
+    of_all = _summed(rows, lambda f: histogram(first.score(f)))
+    prior = estimate_prior(up(of_all), up(histogram(left_out(_expanded(positives, mean, scale), weights, bend))), n, len(positives))
+    return Model(mean, scale, _fit(rows, positives, mean, scale, prior)[0], prior)
 
 
 def _scored(rows: DataFrame, model: Model | None, kind: str) -> DataFrame:
@@ -253,6 +268,24 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def sample(rows: DataFrame, most: int) -> np.ndarray:
+    """FEATURES of `most` documents of rows (doc_id, f) at most: those of the least hash of their id, one row of each id.
+
+    The hash is compared with a bound that lets a few more than `most` pass before any row is sorted, so tasks send the
+    driver no more than that between them, however many documents there are.
+    """
+    each = settled(rows.groupBy("doc_id").agg(F.min("f").alias("f")))
+    n, spare = each.count(), 1 + 8 * most**-0.5
+    key = F.xxhash64("doc_id")
+    while True:
+        share = min(1.0, spare * most / max(1, n))
+        passed = each.where(key <= int(-(2**63) + share * (2**64 - 1))) if share < 1 else each
+        found = passed.orderBy(key, "doc_id").limit(most).select("f").collect()
+        if share == 1 or len(found) == most:
+            return np.array([r["f"] for r in found]).reshape(-1, len(FEATURES))
+        spare *= 2
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = POSITIVES) -> tuple[Model | None, DataFrame]:
     """The model and (doc_id, f) of all rows of docs. None if docs has no trusted positive.
 
@@ -261,10 +294,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = POSITIVES) -> tuple[Mode
     """
     rows = settled(with_features(docs))
     trusted = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
-    chosen = rows.join(trusted, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "f").limit(most).select("f").collect()
-    if not chosen:
-        return None, rows
-    return train(rows, np.array([r["f"] for r in chosen])), rows
+    chosen = sample(rows.join(trusted, "doc_id", "left_semi"), most)
+    return (train(rows, chosen) if len(chosen) else None), rows
 
 
 def classify(docs: DataFrame, labels: DataFrame, most: int = POSITIVES) -> DataFrame:
@@ -280,7 +311,11 @@ def classify(docs: DataFrame, labels: DataFrame, most: int = POSITIVES) -> DataF
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, most: int = POSITIVES, least: float = 0.5) -> DataFrame:
-    """The rows of docs that score at least `least`, with all their columns; texts are scored where they are, no row is moved."""
+    """The rows of docs that score at least `least`, with all their columns, whatever their names; texts are scored where they are, no row is moved.
+
+    Null and empty texts score as texts without words; equal texts score alike, and a score of exactly `least` stays. Null
+    ids and repeated rows are rows like all others. Without any trusted positive all rows stay; an empty table gives no rows.
+    """
     model, _ = fit(docs, labels, most)
     if model is None:
         return docs

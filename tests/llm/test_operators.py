@@ -458,6 +458,47 @@ def test_prior_estimate():
     assert 0.7 <= quality_classifier.estimate_prior(up(cells), up(positive), 1000, 200) < 0.75
 
 
+def test_fit_reaches_the_least_risk(spark):
+    """Against plain gradient descent on the non-negative risk, over the same standardised features."""
+    rng = np.random.default_rng(4)
+    d = len(quality_classifier.FEATURES)
+    good, bad = rng.normal(0.3, 1, (700, d)), rng.normal(-0.3, 1, (300, d))
+    every, trusted, prior = np.vstack((good, bad)), rng.normal(0.3, 1, (120, d)), 0.7
+    mean, scale = every.mean(0), every.std(0)
+    table = spark.createDataFrame([(r.tolist(),) for r in every], "f array<double>")
+    w, bend = quality_classifier._fit(table, trusted, mean, scale, prior)
+    x, z = (quality_classifier._expanded(m, mean, scale) for m in (trusted, every))
+    ridge = np.full(d + 1, quality_classifier.RIDGE + 1 / len(trusted))
+    ridge[-1] = 1e-6
+
+    def risk(v):
+        negative = np.logaddexp(0, z @ v).mean() - prior * np.logaddexp(0, x @ v).mean()
+        return prior * np.logaddexp(0, -(x @ v)).mean() + max(0, negative) + (ridge * v * v).sum() / 2
+
+    def slope(v):
+        p, u = 1 / (1 + np.exp(-(x @ v))), 1 / (1 + np.exp(-(z @ v)))
+        negative = np.logaddexp(0, z @ v).mean() - prior * np.logaddexp(0, x @ v).mean()
+        out = prior * (x.T @ (p - 1)) / len(x) + ridge * v
+        return out + (z.T @ u / len(z) - prior * x.T @ p / len(x) if negative >= 0 else 0)
+
+    v = np.zeros(d + 1)
+    for _ in range(20_000):
+        v -= 0.2 * slope(v)
+    assert risk(w) <= risk(v) + 1e-3
+    # a positive left out scores as a fit without it says
+    w0, bend0 = quality_classifier._fit(table, trusted, mean, scale, None)
+    without = np.delete(trusted, 5, 0)
+    w1, _ = quality_classifier._fit(table, without, mean, scale, None)
+    assert abs(quality_classifier.left_out(x, w0, bend0)[5] - 1 / (1 + math.exp(-float(x[5] @ w1)))) < 0.02
+
+
+def test_trusted_sample_is_bounded_and_of_least_hash(spark):
+    ids = spark.range(5000).withColumn("f", F.array(*(F.lit(0.5) + F.col("id") for _ in quality_classifier.FEATURES))).withColumnRenamed("id", "doc_id")
+    got = quality_classifier.sample(ids.union(ids), 300)
+    want = [r["doc_id"] + 0.5 for r in ids.orderBy(F.xxhash64("doc_id")).limit(300).collect()]
+    assert sorted(got[:, 0]) == sorted(want) and len(quality_classifier.sample(ids.limit(7), 300)) == 7 and len(quality_classifier.sample(ids.limit(0), 300)) == 0
+
+
 # 8. Rules
 
 
@@ -578,12 +619,15 @@ def test_mix_is_native(sourced):
 # 10. WARC
 
 
-def test_archives_round_trip(spark):
+@pytest.mark.parametrize("few", [warc.FEW_PAYLOADS, 0])
+def test_archives_round_trip(spark, monkeypatch, few):
+    monkeypatch.setattr(warc, "FEW_PAYLOADS", few)
     big, bigger = "<p>" + "é" * 600, "<p>" + "y" * 5000
     data = [(1, "http://a/1", big), (2, "http://a/2", big), (3, None, big), (4, "http://b\r\nX: y", "small"), (5, "u", "small"), (6, "u", None), (7, "u", ""), (8, "u", bigger), (8, "u", bigger), (None, "u", bigger), (9, "u", "\r\n\r\nWARC/1.1\r\n")]
     pages = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("digest", F.lit("x")).repartition(3)
     path = scratch(spark, "t10")
     out = rows(warc.stored(pages, path))
+    assert list(out[0]) == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     want = []
     for i, _, html in data:
         raw = (html or "").encode()
