@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainloom.llm.common import stored as stored_table
+
 #: Decompressed bytes after which a frame is closed, and compressed bytes after which a bundle is.
 FRAME, BUNDLE = 256 << 10, 8 << 20
 #: Payloads shorter than this are never revisits.
@@ -25,6 +27,8 @@ LEAST = 1000
 #: Fixed values of the seekable format: the skippable frame's and the table's magic numbers.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 LEVEL = 3
+#: Payloads that come twice, up to this number, are broadcast (about 60 bytes each); more are joined by a shuffle.
+FEW_PAYLOADS = 200_000
 DATE = "1970-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -131,10 +135,16 @@ def planned(pages: DataFrame, least: int = LEAST) -> DataFrame:
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), body.alias("html"))
     rows = rows.withColumn("digest", F.sha1("html")).withColumn("length", F.octet_length("html").cast("long"))
-    # one row for each payload that comes twice; a hot payload is counted by each task before the shuffle
-    largest = rows.where(F.col("length") >= least).groupBy("digest", "length").agg(F.max("page_id").alias("_top"), F.count(F.lit(1)).alias("_n")).where("_n > 1 AND _top IS NOT NULL").drop("_n")
+    large = F.col("length") >= least
+    # hashes alone are shuffled; a hot payload is counted by each task before that
+    largest = rows.where(large).groupBy("digest", "length").agg(F.max("page_id").alias("_top"), F.count(F.lit(1)).alias("_n"))
+    largest = stored_table(largest.where("_n > 1 AND _top IS NOT NULL").drop("_n"))
     refers = F.when(F.col("page_id").eqNullSafe(F.col("_top")), None).otherwise(F.col("_top"))
-    return rows.join(largest, ["digest", "length"], "left").withColumn("refers_to", refers).drop("_top")
+    if largest.count() <= FEW_PAYLOADS:
+        return rows.join(F.broadcast(largest), ["digest", "length"], "left").withColumn("refers_to", refers).drop("_top")
+    # pages that can't refer to others stay where they are
+    met = rows.where(large).join(largest, ["digest", "length"], "left").withColumn("refers_to", refers).drop("_top")
+    return met.unionByName(rows.where(~large).withColumn("refers_to", F.lit(None).cast(dict(pages.dtypes)["page_id"])))
 
 
 def write(pages: DataFrame, path: str, least: int = LEAST) -> Archive:
@@ -169,24 +179,31 @@ def index(archive: Archive, spark) -> DataFrame:
     return spark.read.parquet(f"{archive.path}/bundles").select("bundle", F.explode("entries").alias("_e")).select("_e.page_id", "bundle", "_e.frame", "_e.offset", "_e.length")
 
 
-_ROW = "page_id string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload_sha1 string, payload binary"
+_ROW = "page_id string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary"
 
 
 def _row(headers: dict[str, str], payload: bytes, keep: bool) -> tuple:
     response = headers["warc-type"] == "response"
     urn = lambda x: x[len("<urn:page:") : -1]
     refers = None if response else urn(headers["warc-refers-to"])
-    return urn(headers["warc-record-id"]) or None, headers["warc-type"], refers, headers["warc-payload-digest"].removeprefix("sha1:"), len(payload) if response else None, hashlib.sha1(payload).hexdigest() if response else None, payload if keep and response else None
+    size, digest = (len(payload), hashlib.sha1(payload).hexdigest()) if response else (int(headers["http-length"]), headers["warc-payload-digest"].removeprefix("sha1:"))
+    if response and headers["warc-payload-digest"] != f"sha1:{digest}":
+        raise ValueError(f"record {headers['warc-record-id']} is damaged")
+    return urn(headers["warc-record-id"]) or None, headers["warc-type"], refers, size, digest, payload if keep and response else None
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
-    names = ["page_id", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload_sha1", "payload"]
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
+    names = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
 def read(archive: Archive, spark, payloads: bool = False) -> DataFrame:
-    """Every record of the archive, frame by frame; payload_bytes and payload_sha1 are taken from the stored payload, null for revisits."""
+    """Every record of the archive, frame by frame.
+
+    payload_bytes and payload_digest are taken from the stored payload, which must have the digest its record names; a
+    revisit holds no payload and gives the length and digest of the full one in its headers.
+    """
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,17 +217,19 @@ def read(archive: Archive, spark, payloads: bool = False) -> DataFrame:
 
 
 def lookup(archive: Archive, spark, wanted: DataFrame) -> DataFrame:
-    """The records of wanted (page_id string): only their bundles are opened, and in these only their frames."""
+    """The records of wanted (page_id string): only their bundles are read, and in these each of their frames is decompressed once."""
     at = index(archive, spark).join(wanted.select("page_id").distinct(), "page_id", "left_semi")
     places = at.groupBy("bundle").agg(F.collect_list(F.struct("frame", "offset")).alias("places"))  # bounded by a bundle's records
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, found in zip(batch.column("data"), batch.column("places"), strict=True):
-                data = data.as_py()
+                data, by_frame = data.as_py(), {}
                 for p in found.as_py():
-                    _, headers, payload = next(parse(frame_of(data, p["frame"]), p["offset"]))
-                    yield _batch([_row(headers, payload, True)])
+                    by_frame.setdefault(p["frame"], []).append(p["offset"])
+                for frame, offsets in by_frame.items():
+                    whole = frame_of(data, frame)
+                    yield _batch([_row(headers, payload, True) for _, headers, payload in (next(parse(whole, at)) for at in offsets)])
 
     return spark.read.parquet(f"{archive.path}/bundles").select("bundle", "data").join(places, "bundle").select("data", "places").mapInArrow(records, _ROW)
 
@@ -222,7 +241,5 @@ def stored(pages: DataFrame, path: str, least: int = LEAST) -> DataFrame:
     and refers_to. Null html is empty; repeated rows are records of their own; an empty table gives no rows.
     """
     spark, kind = pages.sparkSession, dict(pages.dtypes)["page_id"]
-    back = read(write(pages, path, least), spark).drop("payload")
-    responses = back.where("record_type = 'response'").groupBy(F.col("page_id").alias("_id"), F.col("payload_sha1").alias("_sha1")).agg(F.max("payload_bytes").alias("_bytes"))
-    whole = back.join(responses, (back["refers_to"] == responses["_id"]) & (back["payload_digest"] == responses["_sha1"]), "left")
-    return whole.select(F.col("page_id").cast(kind).alias("page_id"), F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"), F.coalesce("payload_sha1", "_sha1").alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+    back = read(write(pages, path, least), spark)
+    return back.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
