@@ -8,6 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from functools import cache
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -69,9 +70,19 @@ def drop_tables(*tables: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@cache
+def _libc():
+    import ctypes
+
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library, which has its own ways
+        return None
+
+
 def quiet_threads(keep_tokens: bool = False) -> None:
     """One thread a task: native libraries must not start more than Spark gave. A worker that did another operator's tasks
-    before lets go of the token ids that it remembers, unless it needs them."""
+    before lets go of the token ids that it remembers, unless it needs them, and of memory that those tasks have freed."""
     import os
     import sys
 
@@ -80,6 +91,8 @@ def quiet_threads(keep_tokens: bool = False) -> None:
     for name in ("OMP_NUM_THREADS", "RAYON_NUM_THREADS"):
         os.environ.setdefault(name, "1")
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if trim := getattr(_libc(), "malloc_trim", None):
+        trim(0)
 
 
 def gapless_rank(df: DataFrame, group: str, sizes: Mapping[int, int], order: list[Column], out: str) -> DataFrame:

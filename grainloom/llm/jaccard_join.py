@@ -50,8 +50,8 @@ class ChosenPaths:
     branches: int = 2
     small: int = 128
     leaders: int = 3
-    block: int = 1024
-    block_shingles: int = 1 << 19
+    block: int = 512
+    block_shingles: int = 1 << 18
 
     def lost(self) -> float:
         """The chance that a pair at the threshold never meets in one run, however deep: the branching process dies out."""
@@ -272,7 +272,7 @@ def _meet(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.n
     keep = often[code]
     code, owner = (np.cumsum(often) - 1)[code[keep]], owner[keep]
     out = np.zeros((n, n if right is None else len(right)), np.float32)
-    at, width = 0, 4096
+    at, width = 0, 2048
     for first in range(0, int(often.sum()), width):
         to = int(np.searchsorted(code, first + width))
         have = np.zeros((len(sets), min(width, int(often.sum()) - first)), np.float32)

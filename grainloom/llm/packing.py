@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainloom.llm.common import gapless_rank, settled
+from grainloom.llm.common import gapless_rank, quiet_threads, settled
 from grainloom.llm.wordbpe import default_path, loaded
 
 ROOM = 4096
@@ -179,6 +179,7 @@ def pieces(docs: DataFrame, room: int = ROOM, tokenizer: str | None = None, end_
     kind = dict(docs.dtypes)["doc_id"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads(keep_tokens=True)
         bpe = loaded(path)
         for batch in batches:
             for first, last, ids, bounds in bpe.encode(batch.column("text")):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from grainloom.llm.textbytes import slices, spans, word_hashes
 
 #: Pre-tokens a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: Bytes of text that are worked on at once.
 AT_ONCE = 1 << 20
 

@@ -101,6 +101,18 @@ def test_deltas_delete_and_revise(spark, docs):
         ledger.commit("a/b", change)
 
 
+def test_writers_of_one_batch_count_once(spark, docs):
+    from concurrent.futures import ThreadPoolExecutor
+
+    ledger = token_counts.Ledger(spark, scratch(spark, "t1r"))
+    changes = token_counts.inserts(token_counts.counted(docs, "words", None))
+    with ThreadPoolExecutor(4) as pool:
+        told = list(pool.map(lambda _: ledger.commit("one", changes), range(4)))
+    assert any(told) and ledger.batches() == ["batch-one"] and ledger.totals().agg(F.sum("n_docs")).first()[0] == len(ROWS)
+    token_counts.delta(changes).write.parquet(f"{ledger.path}/delta-dead")
+    assert "delta-dead" in ledger.tidy() and ledger.totals().agg(F.sum("n_docs")).first()[0] == len(ROWS)
+
+
 # 2. Packing
 
 
@@ -379,6 +391,100 @@ def test_phrases_and_templates(spark, none):
     assert licenses.digest(licenses.scan(none)).count() == 0
 
 
+def test_scan_on_odd_rows(docs):
+    """Null and repeated ids, clashing columns, and a text of five megabytes: all of them are scanned whole."""
+    assert ids(licenses.scan(docs)) == ALL_IDS
+    spark = docs.sparkSession
+    long = "plain words " * 420_000 + "Released under the MIT License."
+    out = rows(licenses.scan(spark.createDataFrame([(None, long, "x"), (1, long, "y"), (1, long, "y")], "doc_id long, text string, labels string")))
+    assert [r["labels"] for r in out] == ["mit,tmpl:mit-statement"] * 3 and {r["first_word"] for r in out} == {840_003}
+
+
+def brute_match(template, text):
+    """Every (first, end) where the template stands in text, by trying all ways through its parts, one after the other."""
+    low = text.lower()
+    places = [(m.start(), m.end()) for m in re.finditer(r"[0-9a-z\x80-\U0010ffff]+", low)]
+    own = [low[a:b] for a, b in places]
+    pieces = re.split(r'(<<beginOptional>>|<<endOptional>>|<<var;.*?">>)', template)
+
+    def tree(k):
+        out = []
+        while k < len(pieces):
+            x = pieces[k]
+            if x == "<<beginOptional>>":
+                inside, k = tree(k + 1)
+                out.append(inside)
+            elif x == "<<endOptional>>":
+                return out, k + 1
+            elif x.startswith("<<var"):
+                out.append(re.compile(re.search(r'match="(.*)">>', x)[1].lower(), re.S))
+                k += 1
+            else:
+                out += re.findall(r"[0-9a-z\x80-\U0010ffff]+", x.lower())
+                k += 1
+        return out, k
+
+    def ends(nodes, at):
+        if not nodes:
+            return {at}
+        head, rest = nodes[0], nodes[1:]
+        if isinstance(head, str):
+            return ends(rest, at + 1) if at < len(own) and own[at] == head else set()
+        if isinstance(head, list):
+            return set().union(ends(rest, at), *(ends(rest, e) for e in ends(head, at)))
+        return set().union(*(ends(rest, e) for e in range(at, len(own) + 1) if head.fullmatch(low[places[at][0] : places[e - 1][1]] if e > at else "")))
+
+    nodes, _ = tree(0)
+    return {at: max(found) for at in range(len(own)) if (found := ends(nodes, at))}
+
+
+TOYS = [
+    'a b <<beginOptional>>c <<beginOptional>>d<<endOptional>><<endOptional>> e',
+    '<<beginOptional>>x<<endOptional>> a <<var;name="n";original="o";match=".{1,6}">> b c',
+    'a <<var;name="n";original="o";match="(?:b )*c?">> d <<var;name="m";original="";match=".*">>',
+    'e <<var;name="n";original="o";match="[ab]+( [ab])?">><<beginOptional>>, d<<endOptional>> a',
+]
+
+
+def test_templates_accept_what_brute_force_accepts():
+    rng = np.random.default_rng(3)
+    for template in TOYS:
+        machine = licenses.compile_template(template)
+        for _ in range(300):
+            text = "".join(rng.choice(list("abcdex"), 1)[0] + str(rng.choice([" ", ", ", "-", "\n"])) for _ in range(rng.integers(0, 12)))
+            spoken = licenses.spoken(text.encode())
+            got = {at: end for at in range(len(spoken.tokens)) if (end := machine.longest(spoken, at)) is not None}
+            assert got == brute_match(template, text), (template, text)
+
+
+def test_published_templates_need_their_mandatory_wording():
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES)
+
+    def labels(text):
+        spoken = licenses.spoken(text.encode())
+        return {x for _, _, x in scanner.scan(spoken.data, np.array(spoken.starts, np.int64), np.array(spoken.ends, np.int64))[1]}
+
+    for label, template in licenses.TEMPLATES.items():
+        plain = re.sub(r'<<var;name="[^"]*";original="([^"]*)";match="(?:[^"\\]|\\.)*">>', r"\1", template)
+        assert label in labels("Some words. " + re.sub(r"<<(?:begin|end)Optional>>", "", plain) + ". And more"), label
+        # mandatory words, and what stands for variables between them
+        words, depth = [], 0
+        originals = iter(re.findall(r'original="([^"]*)"', template))
+        for mark, inside in licenses.parts(template):
+            depth += (mark == "beginOptional") - (mark == "endOptional")
+            if mark == "var":
+                words += [(w, False) for w in next(originals).split() if not depth]
+            elif not mark and not depth:
+                words += [(w, re.search("[A-Za-z]", w)) for w in inside.split()]
+        assert label in labels(" ".join(w for w, _ in words)), label
+        for k in [k for k, (_, own) in enumerate(words) if own][::5]:
+            assert label not in labels(" ".join([*(w for w, _ in words[:k]), "zzz", *(w for w, _ in words[k + 1 :])])), (label, words[k])
+    with pytest.raises(ValueError):
+        licenses.compile_template("a <<beginOptional>> b")
+    with pytest.raises(ValueError):
+        licenses.compile_template('a <<var;name="x">> b')
+
+
 # 6. Sharding
 
 
