@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import cache
 from weakref import WeakKeyDictionary
 
@@ -70,6 +71,18 @@ def drop_tables(*tables: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What is run inside hands whole texts to Python in Arrow batches of `rows` rows at most: JVM and worker both hold a batch at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @cache
 def _libc():
     import ctypes

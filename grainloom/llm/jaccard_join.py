@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainloom.llm.common import drop_tables, quiet_threads, stored
+from grainloom.llm.common import drop_tables, quiet_threads, short_batches, stored
 from grainloom.llm.components import components
 from grainloom.llm.textbytes import mixed, slices, spans, word_hashes, words
 
@@ -395,7 +395,8 @@ def _classified(docs: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFrame
     with links; links (node, texts, docs). All have cut lineage, but for links, which read a table."""
     keyed = _keyed(docs)
     kind = dict(docs.dtypes)["doc_id"]
-    members = stored(keyed.select("doc_id", "text", "text_key").mapInArrow(_sketch(how.words), f"doc_id {kind}, text_key binary, node binary, sig binary, shingles long"))
+    with short_batches(docs.sparkSession):
+        members = stored(keyed.select("doc_id", "text", "text_key").mapInArrow(_sketch(how.words), f"doc_id {kind}, text_key binary, node binary, sig binary, shingles long"))
     # pick: one row of each node; all texts of a node have equal sets
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
     nodes = stored(members.groupBy("node").agg(pick.alias("pick"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig"), F.min("shingles").alias("shingles")))
@@ -409,7 +410,8 @@ def _classified(docs: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFrame
     wanted = keyed.join(wanted, keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["text_key"] == F.col("_key")))
     sets = wanted.select("bucket", "node", "blocks", "copies", "text").mapInArrow(_sets(how.words), "bucket binary, node binary, blocks int, copies long, shingles binary")
     dealt = _blocks(sets, F.col("blocks"), "copies", "shingles").select(*_KEY, "node", "_own", "copies", "shingles")
-    found = stored(_sorted_blocks(dealt).mapInArrow(_exact(how.threshold), "a binary, b binary, texts long, docs long"))
+    with short_batches(docs.sparkSession):
+        found = stored(_sorted_blocks(dealt).mapInArrow(_exact(how.threshold), "a binary, b binary, texts long, docs long"))
     drop_tables(clusters, inside, sizes)
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     labels = components(found.where("b IS NOT NULL").select("a", "b"))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainloom.llm.common import short_batches
+
 #: Samples in a row of a picture made of plain bytes.
 WIDTH = 64
 #: Rows whose integral image is held at once.
@@ -236,5 +238,6 @@ def reread(spark: SparkSession, path: str) -> DataFrame:
 
 def kept(docs: DataFrame, path: str, form: str = "pgm") -> DataFrame:
     """Writes store()'s table to path and gives the digests of what is read back from there."""
-    write_tiles(store(docs, form), path)
+    with short_batches(docs.sparkSession):
+        write_tiles(store(docs, form), path)
     return reread(docs.sparkSession, path)

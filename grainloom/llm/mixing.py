@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grainloom.llm.common import gapless_rank, settled
+from grainloom.llm.common import gapless_rank, settled, stored
 
 WORDS = r"[^ \t-\r]+"
 #: Sources of up to this number are broadcast; more are joined by a shuffle.
@@ -31,6 +31,11 @@ FINE = 4096
 STEPS, FLIPS = 60, 4
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """settled(), for tables of a few rows a source: in a few files and tasks, not in one for each partition of a shuffle."""
+    return settled(rows.coalesce(8))
+
+
 def _with_source(rows: DataFrame, sources: DataFrame, n: int) -> DataFrame:
     """Joins on the null-safe key `_s`; the side of sources is broadcast if counted as few."""
     return rows.join(F.broadcast(sources) if n <= FEW_SOURCES else sources, "_s")
@@ -65,7 +70,7 @@ def _rate(size: Column, tilt: Column, scale: Column, most: float) -> Column:
 def _tilts(counts: DataFrame, sources: DataFrame, n: int, most: float, near: float) -> DataFrame:
     """sources with `_tilt`: Newton's steps for all sources at once, kept between the tilts known to be too low and too high."""
     state = sources.withColumns({"_tilt": F.lit(0.0), "_low": F.lit(-1.0), "_high": F.lit(1.0), "_over": F.lit(False), "_under": F.lit(False), "_done": F.col("target") >= most * F.col("source_size") * (1 - 1e-12)})
-    state = settled(state)
+    state = _few(state)
     for _ in range(STEPS):
         at = _with_source(counts, state.where(~F.col("_done")), n)
         rate = _rate(F.col("size").cast("double"), F.col("_tilt"), F.col("_scale"), most)
@@ -84,7 +89,7 @@ def _tilts(counts: DataFrame, sources: DataFrame, n: int, most: float, near: flo
         far = F.lit(1.0) + 2 * F.abs("_tilt")
         free = F.when(gap < 0, F.col("_tilt") + F.least(far, F.coalesce(F.try_divide(-gap, F.col("_slope")), far))).otherwise(F.col("_tilt") - F.least(far, F.coalesce(F.try_divide(gap, F.col("_slope")), far)))
         step = step.withColumn("_tilt", F.when(F.col("_done"), F.col("_tilt")).otherwise(F.coalesce(bounded, free)))
-        state = settled(step.drop("_taken", "_slope"))
+        state = _few(step.drop("_taken", "_slope"))
         if state.where(~F.col("_done")).isEmpty():
             return state
     # the rounding's cut makes up for what a tilt is off
@@ -148,16 +153,16 @@ def _rounded(rated: DataFrame) -> DataFrame:
 
 def _solved(rows: DataFrame, weights: tuple[float, ...], share: float, most: int, near: float) -> Mix:
     """rows (doc_id, source, size, _s, _h), of cut lineage, are read a few times."""
-    counts = settled(rows.groupBy("_s", "source", "size").agg(F.count(F.lit(1)).alias("_n")))
+    counts = stored(rows.groupBy("_s", "source", "size").agg(F.count(F.lit(1)).alias("_n")))
     sources = counts.groupBy("_s", "source").agg(F.sum(F.col("_n") * F.col("size")).alias("source_size"), F.sum("_n").alias("_docs"))
     sources = sources.withColumn("_scale", F.greatest(F.lit(1.0), F.col("source_size") / F.col("_docs")))
-    sources = settled(targets(sources, weights, share, float(most)).select("_s", "source_size", "_scale", "target"))
+    sources = _few(targets(sources, weights, share, float(most)).select("_s", "source_size", "_scale", "target"))
     n = sources.count()
     tilts = _tilts(counts.where("size > 0").select("_s", "size", "_n"), sources, n, float(most), near)
     tilts = tilts.select("_s", "source_size", "_scale", "target", "_tilt", (F.col("target") >= most * F.col("source_size") * (1 - 1e-12)).alias("_full"))
     cuts = _cuts(_rated(rows, tilts, n, most), n)
-    cut = settled(tilts.join(cuts, "_s"))
-    special = settled(_special(_rounded(_rated(rows, cut, n, most)), n, most))
+    cut = _few(tilts.join(cuts, "_s"))
+    special = _few(_special(_rounded(_rated(rows, cut, n, most)), cut.select("_s", "_left"), n, most))
     repeated = {r["_g"]: r["_rows"] for r in special.where("_rows > 1").collect()}  # a few for each source at most
     return Mix(cut.drop("_left"), special, repeated, n, most)
 
@@ -194,10 +199,10 @@ def _cuts(rated: DataFrame, n: int) -> DataFrame:
     may = rated.where("_may").select("_s", "size", F.floor(F.col("_cell") / FINE).alias("_step"), "_cell")
     up_to = Window.partitionBy("_s").orderBy("_step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # at most FINE rows a source
-    coarse = settled(may.groupBy("_s", "_step").agg(F.sum("size").alias("_words")).withColumn("_sum", F.sum("_words").over(up_to)))
+    coarse = stored(may.groupBy("_s", "_step").agg(F.sum("size").alias("_words")).withColumn("_sum", F.sum("_words").over(up_to)))
     coarse = coarse.join(F.broadcast(sure) if n <= FEW_SOURCES else sure, "_s")
     at = coarse.where(F.col("_sum") >= F.col("_wanted")).groupBy("_s").agg(F.min(F.struct("_step", (F.col("_wanted") - F.col("_sum") + F.col("_words")).alias("_left"))).alias("_at"))
-    at = settled(at.select("_s", F.col("_at._step").alias("_at"), F.col("_at._left").alias("_want")))
+    at = _few(at.select("_s", F.col("_at._step").alias("_at"), F.col("_at._left").alias("_want")))
     inside = _with_source(may, at, n).where(F.col("_step") == F.col("_at")).groupBy("_s", "_want", "_cell").agg(F.sum("size").alias("_words"))
     fine_to = Window.partitionBy("_s").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = inside.withColumn("_sum", F.sum("_words").over(fine_to)).where(F.col("_sum") >= F.col("_want"))
@@ -206,10 +211,10 @@ def _cuts(rated: DataFrame, n: int) -> DataFrame:
     most = coarse.groupBy("_s").agg(F.max("_sum").alias("_all"))
     every = sure.join(first, "_s", "left").join(most, "_s", "left")
     left = F.coalesce(F.col("_c._left"), F.col("_wanted") - F.coalesce("_all", F.lit(0)))
-    return settled(every.select("_s", F.coalesce(F.col("_c._cell"), F.lit(FINE * FINE)).alias("_cut"), left.alias("_left")))
+    return _few(every.select("_s", F.coalesce(F.col("_c._cell"), F.lit(FINE * FINE)).alias("_cut"), left.alias("_left")))
 
 
-def _special(rounded: DataFrame, n: int, most: int) -> DataFrame:
+def _special(rounded: DataFrame, left: DataFrame, n: int, most: int) -> DataFrame:
     """(_s, size, _h, _rows, _total, _g): the documents of the cut's cell, and those that are flipped to settle the rest."""
     key = ["_s", "size", "_h"]
     at_cut = F.col("_may") & (F.col("_cell") == F.col("_cut"))
@@ -218,13 +223,13 @@ def _special(rounded: DataFrame, n: int, most: int) -> DataFrame:
     before = Window.partitionBy("_s").orderBy("_h", "size").rowsBetween(Window.unboundedPreceding, -1)
     room = F.col("_left") - F.coalesce(F.sum(F.col("_rows") * F.col("size")).over(before), F.lit(0))
     cell = cell.withColumn("_up", F.greatest(F.lit(0), F.least("_rows", F.floor(room / F.col("size") + 0.5))))
-    cell = settled(cell.select(*key, "_rows", (F.col("_rows") * F.col("_whole") + F.col("_up")).alias("_total"), (F.col("_up") * F.col("size")).alias("_words")))
+    cell = _few(cell.select(*key, "_rows", (F.col("_rows") * F.col("_whole") + F.col("_up")).alias("_total"), (F.col("_up") * F.col("size")).alias("_words")))
     used = cell.groupBy("_s").agg(F.sum("_words").alias("_used"))
-    rest = rounded.groupBy("_s").agg(F.first("_left").alias("_left")).join(used, "_s", "left").select("_s", (F.col("_left") - F.coalesce("_used", F.lit(0))).alias("_r"))
+    rest = left.join(used, "_s", "left").select("_s", (F.col("_left") - F.coalesce("_used", F.lit(0))).alias("_r"))
     # for each size of a source, a document that can be taken once more, and one that can be taken once less
     pick = lambda can: F.min(F.when(can, F.struct("_h", "copies")))
     sizes = rounded.where(~at_cut & (F.col("size") > 0)).groupBy("_s", "size").agg(pick(F.col("copies") < most).alias("_more"), pick(F.col("copies") > 0).alias("_less"))
-    sizes, rest, flips = settled(sizes), settled(rest), []
+    sizes, rest, flips = stored(sizes), _few(rest), []
     for _ in range(FLIPS):
         done = _flip(sizes, rest)
         if done.where("_better").isEmpty():
@@ -260,4 +265,4 @@ def _flip(sizes: DataFrame, rest: DataFrame) -> DataFrame:
     best = best.select("_s", "_r", "_x._a", "_x._b", F.col("_x.new").alias("_new"), ((F.abs("_r") >= 0.5) & (F.col("_x.off") < F.abs("_r") - 1e-6)).alias("_better"))
     for size, which in (("_a", "_more"), ("_b", "_less")):
         best = best.join(sizes.select("_s", F.col("size").alias(size), which), ["_s", size], "left")
-    return settled(best)
+    return _few(best)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainloom.llm.common import gapless_rank, quiet_threads, settled
+from grainloom.llm.common import gapless_rank, quiet_threads, settled, short_batches
 from grainloom.llm.wordbpe import default_path, loaded
 
 ROOM = 4096
@@ -209,7 +209,8 @@ def pack(docs: DataFrame, room: int = ROOM, tokenizer: str | None = None, keep_i
     stay null. An empty table gives no rows.
     """
     cut = pieces(docs, room, tokenizer)
-    cut = settled((cut if keep_ids else cut.drop("ids")).withColumn("_tie", F.monotonically_increasing_id()))
+    with short_batches(docs.sparkSession):
+        cut = settled((cut if keep_ids else cut.drop("ids")).withColumn("_tie", F.monotonically_increasing_id()))
     # at most `room` rows
     sizes = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = np.zeros(room + 1, np.int64)

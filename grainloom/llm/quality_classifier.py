@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainloom.llm.common import quiet_threads, settled
+from grainloom.llm.common import quiet_threads, settled, short_batches
 from grainloom.llm.textbytes import SOLID, slices, word_hashes, words
 
 #: Trusted positives that a fit uses at most: those of the least hash.
@@ -292,7 +292,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = POSITIVES) -> tuple[Mode
     Trusted positives: rows whose doc_id labels marks quality 1 and that aren't held out, at most `most` of them by the
     least hash. No other label is read; the unlabelled side is every row.
     """
-    rows = settled(with_features(docs))
+    with short_batches(docs.sparkSession):
+        rows = settled(with_features(docs))
     trusted = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
     chosen = sample(rows.join(trusted, "doc_id", "left_semi"), most)
     return (train(rows, chosen) if len(chosen) else None), rows

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainloom.llm.common import drop_tables, quiet_threads, stored
+from grainloom.llm.common import drop_tables, quiet_threads, short_batches, stored
 from grainloom.llm.textbytes import SOLID, slices, words
 from grainloom.llm.wordbpe import default_path, loaded
 
@@ -164,9 +164,10 @@ def rollup(docs: DataFrame, path: str) -> DataFrame:
     slice_of = F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))
     count = lambda rows: reduce(DataFrame.union, (counted(rows, name, file()) for name, file in TOKENIZERS.items()))
     # counts of whole texts, and of the last slice's earlier texts: a few bytes a row
-    now = stored(count(docs))
     half = F.expr("substring(text, 1, cast(char_length(text) / 2 AS int))")
-    before = stored(count(docs.where(slice_of == SLICES - 1).select("doc_id", "source", "lang", half.alias("text"))))
+    with short_batches(docs.sparkSession):
+        now = stored(count(docs))
+        before = stored(count(docs.where(slice_of == SLICES - 1).select("doc_id", "source", "lang", half.alias("text"))))
     parts = [now.where(slice_of == k) for k in range(SLICES)]
     batches = [*((f"load-{k}", inserts(parts[k])) for k in range(SLICES - 1)), (f"load-{SLICES - 1}", inserts(before)), ("again-0", inserts(parts[0])), (f"revise-{SLICES - 1}", revised(before, parts[-1])), ("delete-again-0", deletes(parts[0]))]
     for name, changes in batches:
