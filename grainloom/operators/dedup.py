@@ -12,10 +12,14 @@ BANDS = 32
 
 
 def exact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with content_hash and is_first: the least key of each SHA-256 of the text."""
+    """docs with content_hash and is_first: the least key of each SHA-256 of the text.
+
+    Only hashes that come twice are looked up, from a table, so that Spark can broadcast a small one and split a hot hash.
+    """
     hashed = docs.withColumn("content_hash", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    first = hashed.groupBy("content_hash").agg(F.min(key).alias("_first"))
-    return hashed.join(first, "content_hash").withColumn("is_first", F.col(key) == F.col("_first")).drop("_first")
+    twice = settled(hashed.groupBy("content_hash").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
+    is_first = F.col("_first").isNull() | F.col(key).eqNullSafe(F.col("_first"))
+    return hashed.join(twice, "content_hash", "left").withColumn("is_first", is_first).drop("_first")
 
 
 def similar_pairs(signed: DataFrame, key: str, threshold: float = 0.85, bands: int = BANDS, slots: int = SLOTS) -> DataFrame:

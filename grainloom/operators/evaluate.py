@@ -66,13 +66,16 @@ def paired_bootstrap(scores_a: list[float], scores_b: list[float], resamples: in
 
 
 def lcs(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, a row at a time."""
-    row = [0] * (len(b) + 1)
+    """Length of the longest common subsequence: a bit for each word of b, a whole row of the table in one sum of integers."""
+    places: dict[str, int] = {}
+    for j, y in enumerate(b):
+        places[y] = places.get(y, 0) | 1 << j
+    all_ones = (1 << len(b)) - 1
+    row = all_ones  # a 0 where the row's count goes up
     for x in a:
-        corner = 0
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], corner + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+        met = row & places.get(x, 0)
+        row = ((row + met) | (row - met)) & all_ones
+    return len(b) - row.bit_count()
 
 
 def overlap_f1(prediction: str | None, reference: str | None) -> float:
@@ -113,6 +116,28 @@ def model_pairs(results: DataFrame) -> DataFrame:
     return a.join(b, "benchmark").where("_ra < _rb").select("benchmark", "model_a", "model_b", "score_a", "score_b", (F.col("score_a") - F.col("score_b")).alias("difference"))
 
 
+def significance(answers: DataFrame, metric: str = "accuracy", resamples: int = 10_000, seed: int = 42, level: float = 0.05) -> DataFrame:
+    """Pairs of models (rank below rank) on a benchmark, compared by their answers (benchmark, model, rank, item, is_correct).
+
+    (benchmark, metric, model_a, model_b, value_a, value_b, delta, p_value, significant): means of is_correct, and the
+    paired bootstrap over the items; 1 where the models answered different numbers of items, or none in common.
+    """
+    mine, yours = (answers.select("benchmark", "item", F.col("model").alias(f"model_{x}"), F.col("rank").alias(f"_r{x}"), F.col("is_correct").cast("double").alias(f"_{x}")) for x in "ab")
+    pairs = mine.join(yours, ["benchmark", "item"]).where("_ra < _rb")
+    tested = bootstrap(pairs, ["benchmark", "model_a", "model_b"], "_a", "_b", resamples, seed)
+    means = answers.groupBy("benchmark", "model", "rank").agg(F.avg(F.col("is_correct").cast("double")).alias("score"), F.count(F.lit(1)).alias("n"))
+    whole = model_pairs(means).join(tested.withColumnRenamed("n", "_both"), ["benchmark", "model_a", "model_b"], "left")
+    for x in "ab":
+        whole = whole.join(means.select("benchmark", F.col("model").alias(f"model_{x}"), F.col("n").alias(f"_n{x}")), ["benchmark", f"model_{x}"])
+    p = F.when((F.col("_na") == F.col("_nb")) & (F.col("_both") == F.col("_na")), F.col("p_value")).otherwise(F.lit(1.0))
+    return whole.select("benchmark", F.lit(metric).alias("metric"), "model_a", "model_b", F.col("score_a").alias("value_a"), F.col("score_b").alias("value_b"), F.col("difference").alias("delta"), p.alias("p_value"), (p < level).alias("significant"))
+
+
+def zipped(examples: DataFrame, predictions: DataFrame, at: str = "pos") -> DataFrame:
+    """Examples beside predictions of the same position, as far as both go."""
+    return examples.join(predictions, at)
+
+
 def preference_pairs(responses: DataFrame) -> DataFrame:
     """(prompt_id, chosen, rejected) of responses (prompt_id, i, text): the first of the most words and the last of the fewest."""
     n = F.size(words(F.coalesce("text", F.lit(""))))

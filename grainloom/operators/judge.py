@@ -33,9 +33,11 @@ def clamped(raw: Column, low: int = 1, high: int = 5) -> Column:
 
 
 def with_scores(docs: DataFrame, scores: DataFrame, key: str = "doc_id", order: str | None = None) -> DataFrame:
-    """docs that have a score, with it; of several scores of a key the greatest in order."""
-    of = latest(scores, key, order) if order else scores.dropDuplicates([key])
-    return docs.join(of, key)
+    """docs that have a score, with it; of several scores of a key the greatest in order, by default the last in the order that they were read."""
+    if order is None:
+        order, scores = "_read", scores.withColumn("_read", F.monotonically_increasing_id())
+        return docs.join(latest(scores, key, order).drop(order), key)
+    return docs.join(latest(scores, key, order), key)
 
 
 def cached(docs: DataFrame, cache: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Cells of a group's values in which a rank is looked for first.
+CELLS = 4096
+
+
 def counters(rows: DataFrame, by: list[str], value: str = "value") -> DataFrame:
     return rows.groupBy(*by).agg(F.sum(value).alias("total"))
 
@@ -47,13 +53,24 @@ def exposition(series: DataFrame) -> DataFrame:
 
 
 def nearest_rank(rows: DataFrame, by: list[str], value: str, share: float = 0.99, last: int | None = None, order: list[str] | None = None) -> DataFrame:
-    """(by, n, mean, pxx): sorted[int(n * share)] of the values, or of the last ones in order. Rows are counted by value first."""
+    """(by, n, mean, pxx): sorted[int(n * share)] of the values, or of the last ones in order; nulls don't count."""
     if last is not None:
         w = Window.partitionBy(*by).orderBy(*(F.col(c).desc() for c in order or []))
         rows = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= last)
-    cells = rows.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    up = cells.withColumn("_to", F.sum("_n").over(Window.partitionBy(*by).orderBy("_v"))).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
-    return up.groupBy(*by).agg(F.max("_all").alias("n"), (F.sum(F.col("_v") * F.col("_n")) / F.max("_all")).alias("mean"), F.min(F.when(F.col("_to") > F.floor(F.col("_all") * share), F.col("_v"))).alias("pxx"))
+    # cells of equal width between a group's extremes: the one that holds the rank is found by counts, and only its rows are ranked
+    ends = rows.groupBy(*by).agg(F.min(value).cast("double").alias("_low"), F.max(value).cast("double").alias("_high"), F.count(value).alias("n"), F.avg(value).alias("mean"))
+    width = (F.col("_high") - F.col("_low")) / CELLS
+    keys = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    beside = lambda table: rows.where(F.col(value).isNotNull()).join(table.withColumnsRenamed({c: f"_by_{c}" for c in by}), reduce(lambda x, y: x & y, keys, F.lit(True)))
+    cell = F.least(F.lit(CELLS - 1), F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("_low"), width)), F.lit(0))).cast("int")
+    counted = beside(ends).groupBy(*by, "_low", "_high", "n", "mean", cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+    to = F.sum("_n").over(Window.partitionBy(*by).orderBy("_cell"))  # at most CELLS rows a group
+    wanted = F.least(F.floor(F.col("n") * share), F.col("n") - 1)
+    at = counted.withColumn("_to", to).where((F.col("_to") > wanted) & (F.col("_to") - F.col("_n") <= wanted))
+    at = at.select(*by, "_low", "_high", "n", "mean", F.col("_cell").alias("_at"), (wanted - (F.col("_to") - F.col("_n"))).alias("_rank"))
+    inside = beside(at).where(cell == F.col("_at")).groupBy(*by, "n", "mean", "_rank", F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_v"))
+    return inside.withColumn("_to", upto).groupBy(*by, "n", "mean").agg(F.min(F.when(F.col("_to") > F.col("_rank"), F.col("_v"))).alias("pxx")).select(*by, "n", "mean", "pxx")
 
 
 def ema(rows: DataFrame, by: str, order: str, value: str, alpha: float = 0.1) -> DataFrame:
@@ -107,14 +124,23 @@ def norms(arrays: DataFrame) -> DataFrame:
 def alerts(rows: DataFrame, by: str, order: str, value: str, compare: str, bound: float, cooldown_s: float) -> DataFrame:
     """(by, fired_at): rows that break the bound ("gt", "lt", "eq") more than cooldown_s after the last that fired.
 
-    Only breaking rows are folded, so a series' array holds its breaches.
+    Only breaking rows are folded, and only their distinct times.
     """
     breaks = {"gt": F.col(value) > bound, "lt": F.col(value) < bound, "eq": F.col(value) == bound}[compare]
-    times = F.array_sort(F.collect_list(F.col(order)))
-    seconds = lambda t: F.unix_micros(t) / 1e6
-    fold = F.aggregate("_t", F.array().cast("array<timestamp>"), lambda acc, t: F.when((F.size(acc) == 0) | (seconds(t) - seconds(F.element_at(acc, -1)) > cooldown_s), F.concat(acc, F.array(t))).otherwise(acc))
-    hit = rows.where(breaks).withColumn(order, F.col(order).cast("timestamp")).groupBy(by).agg(times.alias("_t"))
-    return hit.select(by, F.explode(F.filter(fold, lambda t: t.isNotNull())).alias("fired_at"))
+    kinds = dict(rows.dtypes)
+
+    def fired(frame: pd.DataFrame) -> pd.DataFrame:
+        """The next alert is looked up behind the cooldown of the last, so a series costs a search for each alert."""
+        at = np.sort(frame["_us"].to_numpy())
+        out, next_one = [], 0
+        while next_one < len(at):
+            out.append(at[next_one])
+            next_one = int(np.searchsorted(at, at[next_one] + cooldown_s * 1e6, "right"))
+        return pd.DataFrame({by: [frame[by].iat[0]] * len(out), "_us": out})
+
+    # a time at which several rows break is one row before the shuffle
+    hit = rows.where(breaks).select(by, F.unix_micros(F.col(order).cast("timestamp")).alias("_us")).distinct()
+    return hit.groupBy(by).applyInPandas(fired, f"{by} {kinds[by]}, _us long").select(by, F.timestamp_micros("_us").alias("fired_at"))
 
 
 def latest_stage(rows: DataFrame) -> DataFrame:

@@ -16,20 +16,26 @@ def clean(docs: DataFrame, limits: Limits = Limits(), threshold: float = 0.85, l
     """(cleaned documents, one row of counts): near duplicates first, then quality, then personal data.
 
     A document that quality rejects still suppresses its later near duplicates. What is emitted is the original text with
-    personal data rewritten; boilerplate lines count in the metrics only.
+    personal data rewritten; boilerplate lines count in the metrics only. Rows are told apart by id and text, in the order
+    of ids, null ids last; of rows that repeat both, one can be kept. No text is written but the output's.
     """
-    kept = dedup.near(docs, threshold=threshold)
-    judged = docs.join(kept, "doc_id").withColumn("_q", F.when(F.col("kept"), analysis(F.col("text"), limits, language, confidence)))
-    judged = settled(judged)
-    passed = judged.where(F.col("kept") & F.col("_q.passed"))
+    ident = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("hash"))
+    keyed = docs.withColumn("_key", ident)
+    kept = settled(dedup.near(keyed, "_key", threshold=threshold).where("kept").select("_key").distinct())
+    first = keyed.join(kept, "_key", "left_semi")
+    if not keyed.groupBy("_key").count().where("count > 1").isEmpty():
+        first = first.dropDuplicates(["_key"])
+    judged = first.withColumn("_q", analysis(F.col("text"), limits, language, confidence))
+    passed = judged.where("_q.passed")
     q = "_q."
     metrics = F.struct(
         F.col(q + "char_count").alias("char_count"), F.col(q + "word_count").alias("word_count"), rounded(F.col(q + "repetition_ratio"), 4).alias("repetition_ratio"),
         F.col(q + "language").alias("language"), rounded(F.col(q + "language_confidence").cast("double"), 4).alias("language_confidence"), F.col(q + "has_code").alias("has_code"),
     )
     out = passed.withColumn("_r", redactions(F.col("text"))).select("doc_id", F.col("_r.text").alias("text"), metrics.alias("quality_metrics"), *(F.col(f"_r.n_{n}").alias(f"n_{n}") for n in PATTERNS))
-    counts = judged.agg(F.count(F.lit(1)).alias("total"), F.count_if(~F.col("kept")).alias("duplicates"), F.count_if(F.col("kept") & ~F.col("_q.passed")).alias("filtered"), F.count_if(F.col("kept") & F.col("_q.passed")).alias("output"))
-    return out, counts
+    seen = judged.agg(F.count(F.lit(1)).alias("_kept"), F.count_if(F.col("_q.passed")).alias("output"))
+    counts = docs.agg(F.count(F.lit(1)).alias("total")).join(F.broadcast(seen))  # one row beside one row
+    return out, counts.select("total", (F.col("total") - F.col("_kept")).alias("duplicates"), (F.col("_kept") - F.col("output")).alias("filtered"), "output")
 
 
 def assembled(docs: DataFrame, template: str = "chatml", room: int | None = None, seed: int = 42) -> DataFrame:

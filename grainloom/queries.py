@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grainloom.functions.chat import TEMPLATES, rendered
-from grainloom.functions.minhash import with_signature
+from grainloom.functions.minhash import coefficients, with_signature
 from grainloom.functions.pii import PATTERNS, redactions
 from grainloom.functions.text import let, rounded, words
 from grainloom.operators import assemble, contamination, dedup, evaluate, judge, merge, telemetry, versioning
@@ -126,23 +126,51 @@ def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.exact(_t(spark, d, "documents").select("doc_id", "text")).select("doc_id", "content_hash", "is_first")
 
 
-@query()
+# Signatures in SQL: the 128 wrapped products are taken once for each distinct shingle, in 128-bit numbers.
+_COEF = ", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(zip(*(c.tolist() for c in coefficients()), strict=True)))
+_MINHASH = rf"""
+mh_text AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS t FROM documents),
+mh_shingle AS (SELECT DISTINCT doc_id, substring(t, i, 5) AS s FROM (SELECT doc_id, t, unnest(range(1, length(t) - 3)) AS i FROM mh_text WHERE length(t) >= 5)),
+mh_coded AS (SELECT s, ('0x' || h[7:8] || h[5:6] || h[3:4] || h[1:2])::BIGINT::HUGEINT AS x FROM (SELECT s, md5(s) AS h FROM (SELECT DISTINCT s FROM mh_shingle))),
+mh_wrapped AS (SELECT s, k, (a::HUGEINT * x + b + 9223372036854775808::HUGEINT) % 18446744073709551616::HUGEINT - 9223372036854775808::HUGEINT AS p FROM mh_coded, (VALUES {_COEF}) c(k, a, b)),
+mh_value AS (SELECT s, k, (((p % 2305843009213693951) + 2305843009213693951) % 2305843009213693951)::BIGINT AS v FROM mh_wrapped),
+mh_slot AS MATERIALIZED (SELECT doc_id, k, min(v) AS v FROM mh_shingle JOIN mh_value USING (s) GROUP BY doc_id, k),
+mh_head AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY sig) AS head FROM (SELECT doc_id, md5(string_agg(v::VARCHAR, ',' ORDER BY k)) AS sig FROM mh_slot GROUP BY doc_id)),
+mh_first AS (SELECT doc_id, k, v FROM mh_slot WHERE doc_id IN (SELECT head FROM mh_head)),
+mh_pair AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) / 128::DOUBLE AS similarity FROM mh_first a JOIN mh_first b ON a.k = b.k AND a.v = b.v AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING count(*) >= 0.85 * 128)"""
+#: The greedy rule, first rows in order: one goes if an earlier one that hasn't gone is its pair.
+_GREEDY = f"""{_MINHASH},
+mh_node AS MATERIALIZED (SELECT b, list(a) AS earlier, row_number() OVER (ORDER BY b) AS rn FROM mh_pair GROUP BY b),
+mh_gone(rn, gone) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL
+  SELECT n.rn, CASE WHEN len(list_filter(n.earlier, lambda x: NOT list_contains(g.gone, x))) > 0 THEN list_append(g.gone, n.b) ELSE g.gone END FROM mh_gone g JOIN mh_node n ON n.rn = g.rn + 1),
+mh_last AS (SELECT gone FROM mh_gone ORDER BY rn DESC LIMIT 1),
+mh_kept AS MATERIALIZED (SELECT doc_id, coalesce(doc_id = head AND NOT list_contains((SELECT gone FROM mh_last), doc_id), false) AS kept FROM documents LEFT JOIN mh_head USING (doc_id))"""
+
+
+@query(f"WITH {_MINHASH} SELECT a, b, similarity FROM mh_pair UNION ALL SELECT head, doc_id, 1.0::DOUBLE FROM mh_head WHERE doc_id <> head")
 def minhash_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of first rows of equal signatures, and all others with their first; SQL would need 128 wrapping products for every shingle."""
+    """Pairs of first rows of equal signatures, and all others with their first."""
     return dedup.linked(settled(with_signature(_t(spark, d, "documents"), "doc_id", "text")), "doc_id")
 
 
-@query()
+@query(f"WITH RECURSIVE {_GREEDY} SELECT doc_id, kept FROM mh_kept")
 def near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.near(_t(spark, d, "documents"))
 
 
-@query()
+@query(rf"""
+WITH RECURSIVE {_GREEDY}, {_BODY}, redacted AS ({_pii_sql('documents', 'doc_id')}),
+code AS (SELECT doc_id, regexp_matches(coalesce(text, ''), '(?:```[\s\S]*?```|def\s+\w+|class\s+\w+|import\s+\w+|function\s+\w+)') AS has_code FROM documents)
+SELECT doc_id, redacted.t AS text, char_count, word_count, round_even(rep, 4) AS repetition_ratio, lang AS language, 1.0::DOUBLE AS language_confidence, has_code
+FROM q JOIN mh_kept USING (doc_id) JOIN redacted USING (doc_id) JOIN code USING (doc_id) WHERE kept AND len(reasons) = 0""")
 def clean_documents(spark: SparkSession, d: str) -> DataFrame:
-    return pipelines.clean(_t(spark, d, "documents"), language=F.col("lang"), confidence=F.lit(1.0))[0].select("doc_id", "text", "quality_metrics.*")
+    out = pipelines.clean(_t(spark, d, "documents"), language=F.col("lang"), confidence=F.lit(1.0))[0].select("doc_id", "text", "quality_metrics.*")
+    return out.withColumns({c: F.col(c).cast("long") for c in ("char_count", "word_count")})
 
 
-@query()
+@query(rf"""
+WITH RECURSIVE {_GREEDY}, {_BODY}
+SELECT count(*) AS total, count_if(NOT kept)::BIGINT AS duplicates, count_if(kept AND len(reasons) > 0)::BIGINT AS filtered, count_if(kept AND len(reasons) = 0)::BIGINT AS output FROM q JOIN mh_kept USING (doc_id)""")
 def clean_funnel(spark: SparkSession, d: str) -> DataFrame:
     return pipelines.clean(_t(spark, d, "documents"), language=F.col("lang"), confidence=F.lit(1.0))[1]
 
@@ -256,7 +284,7 @@ _HASH = "('0x' || substr(md5('42|{salt}|' || doc_id), 1, 8))::BIGINT"
 @query(f"""
 WITH k AS (SELECT doc_id, coalesce(text, '') AS t, {_HASH.format(salt='kind')} % 3 AS kind, {_HASH.format(salt='question')} % 4 AS question FROM documents)
 SELECT doc_id, CASE kind WHEN 0 THEN {_literal(assemble.QA)} WHEN 1 THEN {_literal(assemble.EXPLAIN)} ELSE {_literal(assemble.ANALYZE)} END AS system,
-  CASE kind WHEN 0 THEN {_literal(assemble.QA_PREFIX + "{context}" + assemble.QA_ASK)} || t[1:2000] || chr(10) || chr(10) || [{", ".join(map(_literal, assemble.QUESTIONS))}][question + 1]
+  CASE kind WHEN 0 THEN {_literal(assemble.QA_PROMPT)} || t[1:2000] || chr(10) || chr(10) || [{", ".join(map(_literal, assemble.QUESTIONS))}][question + 1]
     WHEN 1 THEN {_literal(assemble.EXPLAIN_PREFIX)} || t[1:500] ELSE {_literal(assemble.ANALYZE_PREFIX)} || t[1:500] END AS instruction, t AS response FROM k""")
 def document_conversations(spark: SparkSession, d: str) -> DataFrame:
     rows = assemble.conversations(_t(spark, d, "documents"))
@@ -525,7 +553,9 @@ def metric_histogram(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.histogram(_t(spark, d, "events"), ["event_type"], _LE).withColumn("sum", F.round("sum", 4))
 
 
-@query()
+@query("""
+WITH t AS (SELECT event_type, round(sum(value), 2) AS v FROM events GROUP BY event_type)
+SELECT 'events_value_total' AS name, '# TYPE events_value_total counter' || chr(10) || string_agg('events_value_total{type="' || event_type || '"} ' || v::VARCHAR, chr(10) ORDER BY event_type) || chr(10) AS text FROM t""")
 def metric_exposition(spark: SparkSession, d: str) -> DataFrame:
     totals = telemetry.counters(_t(spark, d, "events"), ["event_type"])
     series = totals.select(F.lit("events_value_total").alias("name"), F.lit("counter").alias("type"), F.create_map(F.lit("type"), "event_type").alias("labels"), F.round("total", 2).alias("value"))
@@ -539,7 +569,10 @@ def latency_p99(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.nearest_rank(_t(spark, d, "events"), ["event_type"], "value").withColumn("mean", F.round("mean", 4))
 
 
-@query()
+@query("""
+WITH RECURSIVE r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+e AS (SELECT user_id, event_id, value, rn, value AS ema FROM r WHERE rn = 1 UNION ALL SELECT r.user_id, r.event_id, r.value, r.rn, 0.1::DOUBLE * r.value + 0.9::DOUBLE * e.ema FROM e JOIN r ON r.user_id = e.user_id AND r.rn = e.rn + 1)
+SELECT user_id, event_id, value, round(ema, 6) AS ema FROM e""")
 def loss_ema(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.ema(_t(spark, d, "events"), "user_id", "event_id", "value").withColumn("ema", F.round("ema", 6))
 
@@ -551,7 +584,14 @@ def gradient_spikes(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.spikes(_t(spark, d, "events"), "user_id", ["ts", "event_id"], "value").select("event_id", "user_id", (F.round("z_score", 3) + 0.0).alias("z_score"))
 
 
-@query()
+@query("""
+WITH RECURSIVE r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+s AS (SELECT user_id, 0::BIGINT AS rn, max(n) AS n, NULL::DOUBLE AS best, 0 AS bad, NULL::BIGINT AS stop FROM r GROUP BY user_id UNION ALL
+  SELECT s.user_id, r.rn, s.n, CASE WHEN s.stop IS NULL AND r.rn >= 3 AND (s.best IS NULL OR s.best - r.value > 0) THEN r.value ELSE s.best END,
+    CASE WHEN s.stop IS NOT NULL OR r.rn < 3 THEN s.bad WHEN s.best IS NULL OR s.best - r.value > 0 THEN 0 ELSE s.bad + 1 END,
+    CASE WHEN s.stop IS NULL AND r.rn >= 3 AND NOT (s.best IS NULL OR s.best - r.value > 0) AND s.bad + 1 >= 5 THEN r.event_id ELSE s.stop END
+  FROM s JOIN r ON r.user_id = s.user_id AND r.rn = s.rn + 1)
+SELECT user_id, best, stop AS stop_at FROM s WHERE rn = n""")
 def early_stopping(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.early_stop(_t(spark, d, "events"), "user_id", "event_id", "value")
 
@@ -561,7 +601,11 @@ def stale_checkpoints(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.stale_checkpoints(_t(spark, d, "events"), "user_id", "event_id").select("event_id", "user_id")
 
 
-@query()
+@query("""
+WITH RECURSIVE b AS (SELECT event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn FROM events WHERE value > 80),
+f AS (SELECT event_type, rn, ts AS last, true AS fired FROM b WHERE rn = 1 UNION ALL
+  SELECT b.event_type, b.rn, CASE WHEN epoch_us(b.ts) - epoch_us(f.last) > 3600000000 THEN b.ts ELSE f.last END, epoch_us(b.ts) - epoch_us(f.last) > 3600000000 FROM f JOIN b ON b.event_type = f.event_type AND b.rn = f.rn + 1)
+SELECT event_type, last AS fired_at FROM f WHERE fired""")
 def alert_cooldown(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.alerts(_t(spark, d, "events"), "event_type", "ts", "value", "gt", 80.0, 3600)
 
