@@ -80,5 +80,12 @@ def char_overlaps(docs: DataFrame, items: DataFrame, n: int = 13, least: float =
     return exact.unionByName(near)
 
 
+def training_report(docs: DataFrame, items: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row: training rows, benchmark items, rows with a match, matches, and the rate over the training rows."""
+    hit = matches.agg(F.countDistinct("doc_id").alias("contaminated_count"), F.count(F.lit(1)).alias("matches"))
+    total = docs.agg(F.count(F.lit(1)).alias("total_training_examples")).join(F.broadcast(items.agg(F.count(F.lit(1)).alias("total_benchmark_examples")))).join(F.broadcast(hit))  # rows of one
+    return total.withColumn("contamination_rate", F.col("contaminated_count") / F.greatest("total_training_examples", F.lit(1)))
+
+
 def top_matches(matches: DataFrame, k: int = 10) -> DataFrame:
     return matches.orderBy(F.col("similarity").desc(), "doc_id", "item_id").limit(k)

@@ -81,7 +81,10 @@ def greedy_kept(heads: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def near(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.85) -> DataFrame:
     """(key, kept): the greedy rule in order of key. Texts too short for a shingle are dropped, as duplicates are."""
-    signed = settled(with_signature(docs, key, text))
+    return _greedy(settled(with_signature(docs, key, text)), key, threshold)
+
+
+def _greedy(signed: DataFrame, key: str, threshold: float) -> DataFrame:
     groups = settled(signature_groups(signed, key))
     heads = groups.select("head").distinct()
     kept = greedy_kept(heads, similar_pairs(signed, key, threshold)).withColumn("_kept", F.lit(True))
@@ -89,6 +92,18 @@ def near(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     return full.union(signed.where("signature IS NULL").select(key, F.lit(False).alias("kept")))
 
 
+def incremental(index: DataFrame, batch: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.85) -> tuple[DataFrame, DataFrame]:
+    """(key, kept) of batch, and the index with its kept rows: the greedy rule where all of index (key, signature) came before and stays.
+
+    The index is what earlier batches kept, so its rows are no pairs of each other; signatures alone are carried on.
+    """
+    signed = settled(with_signature(batch, key, text))
+    place = lambda rows, new: rows.withColumn("_key", F.struct(F.lit(new).alias("new"), F.col(key).alias("id"))).select("_key", "signature")
+    verdict = settled(_greedy(place(index, False).unionByName(place(signed, True)), "_key", threshold))
+    of_batch = verdict.where("_key.new").select(F.col("_key.id").alias(key), "kept")
+    return of_batch, index.select(key, "signature").unionByName(signed.join(of_batch.where("kept").select(key), key, "left_semi"))
+
+
 def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
     """One row a key, that of the greatest order: what an upsert leaves. Tasks pick their own latest before the shuffle."""
     last = F.max_by(F.struct(*rows.columns), F.col(order)).alias("_row")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,25 @@ def clamped(raw: Column, low: int = 1, high: int = 5) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), F.coalesce(raw.try_cast("double").cast("int"), F.lit(low))))
 
 
+#: Fixed wording of what a scorer is asked.
+PROMPT = "Score the text on each dimension from 1 to 5.\nDimensions: {dimensions}\nAnswer with one JSON object of numbers.\n\nText:\n{text}"
+
+
+def prompt(text: Column, dimensions: Mapping[str, float], most_chars: int = 4000, template: str = PROMPT) -> Column:
+    """What a scorer is asked about a text: the template with the dimensions by name and the text's first characters."""
+    named = F.replace(F.lit(template), F.lit("{dimensions}"), F.lit(", ".join(dimensions)))
+    return F.replace(named, F.lit("{text}"), F.substring(F.coalesce(text, F.lit("")), 1, most_chars))
+
+
+def scored_by(docs: DataFrame, scorer: Callable[[pd.Series], pd.Series], dimensions: Mapping[str, float], text: str = "text") -> DataFrame:
+    """docs with scores and composite_score from any scorer of a batch of prompts that answers with JSON; a reply without any counts as the lowest."""
+    reply = F.pandas_udf(scorer, "string")(prompt(F.col(text), dimensions))
+    given = docs.withColumn("_reply", salvaged_json(reply))
+    cells = [x for d in dimensions for x in (F.lit(d), clamped(F.get_json_object("_reply", f"$.{d}")).cast("double"))]
+    scored = given.withColumn("scores", F.create_map(*cells)).drop("_reply")
+    return scored.withColumn("composite_score", composite(F.col("scores"), dimensions))
+
+
 def with_scores(docs: DataFrame, scores: DataFrame, key: str = "doc_id", order: str | None = None) -> DataFrame:
     """docs that have a score, with it; of several scores of a key the greatest in order, by default the last in the order that they were read."""
     if order is None:

@@ -143,6 +143,11 @@ def alerts(rows: DataFrame, by: str, order: str, value: str, compare: str, bound
     return hit.groupBy(by).applyInPandas(fired, f"{by} {kinds[by]}, _us long").select(by, F.timestamp_micros("_us").alias("fired_at"))
 
 
+def append_log(rows: DataFrame, path: str) -> None:
+    """Adds rows to a log of metrics; what is there stays."""
+    rows.write.mode("append").parquet(path)
+
+
 def latest_stage(rows: DataFrame) -> DataFrame:
     """Of (stage, status, end_time) the completed stage that ended last."""
     return rows.where("status = 'completed'").agg(F.max_by("stage", "end_time").alias("stage"))

@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(filename, bytes, sha256, lines) of every file below path; a missing path raises."""
+    """(filename, bytes, sha256, lines) of every file below path, by its path from there; a missing path raises."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     lines = F.size(F.filter(F.split(F.col("content").cast("string"), "\n"), lambda x: F.trim(x) != ""))
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.when(F.endswith("path", F.lit(".jsonl")), lines).otherwise(0).alias("lines"))
+    # every file's path ends with what stands behind the root's, whatever scheme the two are written with
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath().rstrip("/") + "/"
+    name = F.substring(F.col("path"), F.locate(root, F.col("path")) + len(root), F.lit(1 << 20))
+    return files.select(name.alias("filename"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.when(F.endswith("path", F.lit(".jsonl")), lines).otherwise(0).alias("lines"))
 
 
 def snapshot(files: DataFrame) -> DataFrame:

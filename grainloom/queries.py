@@ -678,8 +678,11 @@ def star_anti(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from grainloom import source_queries  # noqa: F401  it adds its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)

@@ -5,15 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the checkpoint directory the cluster names, or else one of our own."""
+    """The folder that driver and executors share: the checkpoint directory the cluster names; one of our own only where all run on this machine."""
     sc = spark.sparkContext
     known = sc._jsc.sc().getCheckpointDir()
     if not known.isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="grainloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="grainloom-"))
         known = sc._jsc.sc().getCheckpointDir()
     return known.get()
 
@@ -28,6 +32,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def numbered(rows: DataFrame, order: list[str], out: str) -> DataFrame:
+    """rows with `out`: 0, 1, 2, … in order, ranked within ranges of it and shifted by the counts of those before. Rows that tie in all of order are one range's."""
+    parts = settled(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    shift = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return parts.withColumn(out, own).join(F.broadcast(shift), "_part").withColumn(out, (F.col(out) + F.col("_shift")).cast("long")).drop("_part", "_shift")
+
+
 #: Tables of at least this many bytes come in enough pieces of their own.
 SPREAD_BELOW = 256 << 20
 

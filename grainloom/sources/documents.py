@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainloom.functions.text import strip
-from grainloom.session import settled
+from grainloom.session import numbered, settled
 
 DOCUMENT = ("source", "source_id", "url", "title", "content", "metadata", "content_hash")
 
@@ -27,8 +27,8 @@ def _documents(rows: DataFrame, source: str, source_id: Column, url: Column, tit
 
 
 def jsonl(spark: SparkSession, path: str, schema: str | None = None, malformed: str = "FAILFAST") -> DataFrame:
-    """Every *.jsonl below path. A missing path raises; a blank line is no row; bad lines raise or, by DROPMALFORMED, go."""
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").option("mode", malformed)
+    """Every *.jsonl, and every part that the sinks wrote, below path. A missing path raises; a blank line is no row; bad lines raise or, by DROPMALFORMED, go."""
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "{*.jsonl,part-*.json}").option("mode", malformed)
     return (reader.schema(schema) if schema else reader).json(path)
 
 
@@ -52,56 +52,97 @@ def url_list(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(~F.startswith("value", F.lit("#"))).select(strip(F.col("value")).alias("url")).where("url != ''")
 
 
+def weights(spark: SparkSession, path: str) -> DataFrame:
+    """(param, values) of a folder of shards, in the order of their names: of a parameter in several the last wins. A missing path raises."""
+    rows = spark.read.option("recursiveFileLookup", True).parquet(path).select("param", "values", F.col("_metadata.file_path").alias("_file"))
+    return rows.groupBy("param").agg(F.max_by("values", "_file").alias("values"))
+
+
 ATOM_ENTRY = "struct<id:string,title:string,summary:string,published:string,author:array<struct<name:string>>,category:array<struct<_term:string>>,link:array<struct<_href:string,_rel:string,_title:string>>>"
 
 
 def atom(feeds: DataFrame, first: str = "", last: str = "9999", most: int | None = None) -> DataFrame:
-    """Papers of Atom feeds (xml): published between two dates, both included, as text; `most` counts what is left."""
+    """Papers of Atom feeds (xml): published between two dates, both included, as text; of what is left the `most` newest, ties by id."""
     entry = F.explode(F.from_xml(F.col("xml"), f"entry array<{ATOM_ENTRY}>", {"rowTag": "feed"})["entry"]).alias("e")
     rows = feeds.select(entry).select("e.*").where(F.substring("published", 1, 10).between(first, last))
-    flat = lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
     link = lambda pick: F.get(F.transform(F.filter("link", pick), lambda x: x["_href"]), 0)
-    title, summary = flat(F.col("title")), flat(F.col("summary"))
+    title, summary = strip(F.coalesce("title", F.lit(""))), strip(F.coalesce("summary", F.lit("")))
+    if most:
+        rows = rows.orderBy(F.col("published").desc(), "id").limit(most)
     content = F.concat(F.lit("Title: "), title, F.lit("\n\nAbstract: "), summary)
     meta = {"authors": F.to_json(F.transform("author", lambda a: a["name"])), "categories": F.to_json(F.transform("category", lambda c: c["_term"])), "published": F.col("published"), "pdf_url": link(lambda x: x["_title"] == "pdf")}
-    out = _documents(rows, "arxiv", F.element_at(F.split("id", "/"), -1), F.coalesce(link(lambda x: x["_rel"] == "alternate"), "id"), title, content, meta)
-    return out.limit(most) if most else out
+    return _documents(rows, "arxiv", F.element_at(F.split("id", "/"), -1), F.coalesce(link(lambda x: x["_rel"] == "alternate"), "id"), title, content, meta)
+
+
+#: What stands between comments and answers, and the mark of an accepted answer.
+BETWEEN, ACCEPTED = "\n\n---\n\n", "  \u2713 Accepted"
 
 
 def issues(rows: DataFrame, most_comments: int = 10) -> DataFrame:
-    """Issues (repo, number, html_url, title, body, labels, pull_request, comments): no pull requests, the first comments joined."""
+    """Issues (repo, number, html_url, title, body, labels, pull_request, comments array<struct<user, body>>): no pull requests, with the first comments."""
     own = rows.where("pull_request IS NULL")
-    said = F.array_join(F.slice(F.coalesce("comments", F.array().cast("array<string>")), 1, most_comments), "\n\n---\n\n")
-    body = F.concat_ws("\n\n", F.concat(F.lit("# "), "title"), F.col("body"), F.when(said != "", said))
-    return _documents(own, "github", F.concat_ws("#", "repo", F.col("number").cast("string")), F.col("html_url"), F.col("title"), body, {"labels": F.array_join("labels", ", ")})
+    text = lambda c: F.coalesce(c, F.lit(""))
+    said = F.transform(F.slice(F.coalesce("comments", F.array().cast(dict(rows.dtypes)["comments"])), 1, most_comments), lambda c: F.concat(F.lit("**"), F.coalesce(c["user"], F.lit("unknown")), F.lit("**: "), text(c["body"])))
+    content = F.concat(F.lit("Issue: "), text(F.col("title")), F.lit("\n\nLabels: "), text(F.array_join("labels", ", ")), F.lit("\n\nBody:\n"), text(F.col("body")), F.lit("\n\nComments:\n"), F.array_join(said, BETWEEN))
+    source_id = F.concat("repo", F.lit("/issues/"), F.col("number").cast("string"))
+    return _documents(own, "github", source_id, F.col("html_url"), F.col("title"), content, {"repo": F.col("repo"), "type": F.lit("issue"), "labels": F.to_json("labels")})
 
 
 def questions(rows: DataFrame, least_score: int = 0, answers: int = 5) -> DataFrame:
-    """Questions (question_id, link, title, body, score, tags, answers array<struct<score, is_accepted, body>>) with their best answers."""
-    best = F.slice(F.sort_array(F.transform("answers", lambda a: F.struct(a["score"].alias("score"), a["is_accepted"].alias("ok"), a["body"].alias("body"))), False), 1, answers)
-    texts = F.transform(best, lambda a: F.concat(F.lit("[Score: "), a["score"].cast("string"), F.lit("]"), F.when(a["ok"], " (accepted)").otherwise(""), F.lit("\n"), a["body"]))
-    content = F.concat(F.col("title"), F.lit("\n\n"), F.col("body"), F.lit("\n\n" + "=" * 40 + "\n\nAnswers:\n\n"), F.array_join(texts, "\n\n"))
+    """Questions (question_id, link, title, body, score, tags, answers array<struct<score, is_accepted, body>>) with their best answers; of equal ones the first."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    listed = F.transform(F.coalesce("answers", F.array().cast(dict(rows.dtypes)["answers"])), lambda a, i: F.struct((-a["score"]).alias("k"), i.alias("i"), a["score"].alias("score"), a["is_accepted"].alias("ok"), a["body"].alias("body")))
+    texts = F.transform(F.slice(F.array_sort(listed), 1, answers), lambda a: F.concat(F.lit("[Score: "), a["score"].cast("string"), F.when(a["ok"], F.lit(ACCEPTED)).otherwise(""), F.lit("]\n"), text(a["body"])))
+    content = F.concat(
+        F.lit("Question: "), F.col("title"), F.lit("\nTags: "), text(F.array_join("tags", ", ")), F.lit("\nScore: "), F.col("score").cast("string"), F.lit("\n\n"), text(F.col("body")),
+        F.lit("\n\n" + "=" * 40 + "\nAnswers:\n"), F.array_join(texts, BETWEEN),
+    )
     own = rows.where(F.col("score") >= least_score)
-    return _documents(own, "stackoverflow", F.col("question_id"), F.col("link"), F.col("title"), content, {"score": F.col("score"), "tags": F.to_json("tags")})
+    link = F.coalesce("link", F.concat(F.lit("https://stackoverflow.com/q/"), F.col("question_id").cast("string")))
+    return _documents(own, "stackoverflow", F.col("question_id"), link, F.col("title"), content, {"score": F.col("score"), "tags": F.to_json("tags")})
 
 
-def hub_rows(rows: DataFrame, dataset: str, fields: list[str], most: int | None = None) -> DataFrame:
-    """Rows of a dataset: every field that isn't empty as `field: value`, arrays of turns as `[role]: text`; empty rows don't count."""
+#: The fields of a dataset's rows that are read, in this order.
+FIELDS = ("text", "instruction", "input", "output", "response", "question", "answer", "context", "conversations")
+
+
+def hub_rows(rows: DataFrame, dataset: str, fields: tuple[str, ...] = FIELDS, most: int | None = None, order: list[str] | None = None) -> DataFrame:
+    """Rows of a dataset: every field that isn't empty as `field: value`, each turn of an array as `[role]: text`, a blank line between.
+
+    Empty rows don't count; the others are numbered in order (by default that of all fields), which gives their ids, and
+    the first `most` are taken.
+    """
     kinds = dict(rows.dtypes)
+    have = [f for f in fields if f in kinds]
 
     def part(name: str) -> Column:
         if not kinds[name].startswith("array<struct"):
-            return F.when(F.coalesce(F.col(name).cast("string"), F.lit("")) != "", F.concat(F.lit(f"{name}: "), F.col(name).cast("string")))
-        inner = kinds[name]
-        role = next((r for r in ("from", "role") if f"{r}:" in inner), None)
-        value = next((v for v in ("value", "content") if f"{v}:" in inner), None)
-        turns = F.transform(name, lambda t: F.concat(F.lit("["), F.coalesce(t[role] if role else F.lit(""), F.lit("")), F.lit("]: "), F.coalesce(t[value] if value else F.lit(""), F.lit(""))))
-        return F.when(F.size(name) > 0, F.array_join(turns, "\n"))
-
-    content = F.concat_ws("\n\n", *(part(f) for f in fields if f in kinds))
-    full = rows.withColumn("_content", content).where("_content != ''")
-    full = full.limit(most) if most else full
-    return _documents(full, "huggingface", F.sha2("_content", 256), F.lit(dataset), F.lit(dataset), F.col("_content"), {"dataset": F.lit(dataset)})
+            value = F.col(name).cast("string")
+            return F.when(F.coalesce(value, F.lit("")) != "", F.array(F.concat(F.lit(f"{name}: "), value))).otherwise(F.array().cast("array<string>"))
+        role = next((r for r in ("from", "role") if f"{r}:" in kinds[name]), None)
+        value = next((v for v in ("value", "content") if f"{v}:" in kinds[name]), None)
+        text = lambda t, f: F.coalesce(t[f], F.lit("")) if f else F.lit("")
+        return F.coalesce(F.transform(name, lambda t: F.concat(F.lit("["), text(t, role), F.lit("]: "), text(t, value))), F.array().cast("array<string>"))
+
+    full = rows.withColumn("_content", F.array_join(F.flatten(F.array(*map(part, have))), "\n\n")).where("_content != ''")
+    full = numbered(full, order or ["_content"], "_index")
+    full = full.where(F.col("_index") < most) if most else full
+    index = F.col("_index").cast("string")
+    return _documents(full, "huggingface", F.concat(F.lit(f"{dataset}/"), index), F.lit(f"https://huggingface.co/datasets/{dataset}"), F.concat(F.lit(f"{dataset} - Example "), index), F.col("_content"), {"dataset": F.lit(dataset), "index": index})
+
+
+def identity(fields: Column) -> Column:
+    """A document's key from a map of its fields: the content hash, else the source's id, else ""."""
+    of = lambda name: F.when(F.coalesce(fields[name], F.lit("")) != "", fields[name])
+    return F.coalesce(of("content_hash"), of("source_id"), F.lit(""))
+
+
+def text_of(fields: Column, names: tuple[str, ...] = ("text", "instruction", "prompt")) -> Column:
+    """The text of a map of fields: that of the first name that is a key, even if its value is null (then ""); "" if none is."""
+    out = F.lit("")
+    for n in reversed(names):
+        out = F.when(F.map_contains_key(fields, F.lit(n)), F.coalesce(fields[n], F.lit(""))).otherwise(out)
+    return out
 
 
 class _Page(HTMLParser):

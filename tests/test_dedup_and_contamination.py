@@ -139,3 +139,26 @@ def test_gram_hashes_stand_for_grams(texts):
         for j in range(i):
             both = set(found[owner == i].tolist()) & set(found[owner == j].tolist())
             assert len(both) == len(want[i] & want[j])
+
+
+def test_clean_counts_rows_that_repeat_ids_or_have_none(spark):
+    from grainloom.plans import pipelines
+
+    long = " ".join(f"word{k}" for k in range(60))
+    other = " ".join(f"item{k * 7}" for k in range(60))
+    data = [(1, long), (1, other), (None, " ".join(f"thing{k * 3}" for k in range(60))), (2, long), (1, long), (None, None)]
+    out, counts = pipelines.clean(spark.createDataFrame(data, "doc_id long, text string").repartition(3))
+    assert counts.first().asDict() == {"total": 6, "duplicates": 3, "filtered": 0, "output": 3}
+    assert sorted((r["doc_id"] is None, r["text"][:4]) for r in out.collect()) == [(False, "item"), (False, "word"), (True, "thin")]
+
+
+def test_incremental_rows_meet_the_index(spark):
+    from grainloom.operators import dedup
+
+    text = lambda seed: " ".join(f"w{seed}x{k}" for k in range(60))
+    rows = lambda *r: spark.createDataFrame(list(r), "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, signature array<long>")
+    first, index = dedup.incremental(none, rows((5, text(1)), (6, text(2)), (7, text(1) + "!")))
+    assert {r["doc_id"]: r["kept"] for r in first.collect()} == {5: True, 6: True, 7: False}
+    second, index = dedup.incremental(index, rows((1, text(2)), (2, text(3)), (3, "abc")))
+    assert {r["doc_id"]: r["kept"] for r in second.collect()} == {1: False, 2: True, 3: False} and index.count() == 3
