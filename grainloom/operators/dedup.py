@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainloom.functions.minhash import SLOTS, with_signature
+from grainloom.functions.text import let
 from grainloom.session import settled
 
 BANDS = 32
@@ -25,17 +28,24 @@ def exact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 def similar_pairs(signed: DataFrame, key: str, threshold: float = 0.85, bands: int = BANDS, slots: int = SLOTS) -> DataFrame:
     """(a, b, similarity), a < b, of rows (key, signature) whose equal slots reach the threshold.
 
-    A pair at the threshold differs in too few slots to differ in every band, so bands lose none above 1 - bands/slots.
+    A pair at the threshold differs in too few slots to differ in every band, so bands lose none above 1 - bands/slots; by
+    the same count it has `least` bands in common. A bucket emits only pairs that have these, and only in the first band
+    that they share, so rows that share a band by a common passage, or near copies below the threshold, are compared by
+    their band hashes where they meet and go no further.
     Rows of one signature meet by their first only, so a hot group of copies costs one comparison a copy; its inner pairs
     (similarity 1) aren't listed: join `signature_groups` for them.
     """
     rows = slots // bands
     groups = signature_groups(signed, key)
     heads = groups.where(F.col(key) == F.col("head")).join(signed, key).select(F.col("head"), "signature")
-    banded = heads.select("head", "signature", F.posexplode(F.array(*(F.xxhash64(F.slice("signature", 1 + i * rows, rows)) for i in range(bands)))).alias("band", "value"))
-    left = banded.select(F.col("head").alias("a"), "band", "value")
-    right = banded.select(F.col("head").alias("b"), "band", "value")
-    candidates = left.join(right, ["band", "value"]).where("a < b").select("a", "b").distinct()
+    hashes = F.array(*(F.xxhash64(F.slice("signature", 1 + i * rows, rows)) for i in range(bands)))
+    banded = heads.select("head", hashes.alias("bands")).select("head", "bands", F.posexplode("bands").alias("band", "value"))
+    left = banded.select(F.col("head").alias("a"), "band", "value", F.col("bands").alias("x"))
+    right = banded.select(F.col("head").alias("b"), "band", "value", F.col("bands").alias("y"))
+    least = max(1, bands - math.floor(slots * (1 - threshold) + 1e-9))
+    shared = F.zip_with("x", "y", lambda x, y: x == y)
+    fit = let(shared, lambda s: (F.array_position(s, F.lit(True)) == F.col("band") + 1) & (F.size(F.filter(s, lambda e: e)) >= least))
+    candidates = left.join(right, ["band", "value"]).where((F.col("a") < F.col("b")) & fit).select("a", "b")
     of = signed.select(F.col(key).alias("_k"), "signature")
     both = candidates.join(of.select(F.col("_k").alias("a"), F.col("signature").alias("x")), "a").join(of.select(F.col("_k").alias("b"), F.col("signature").alias("y")), "b")
     equal = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v)
