@@ -5,8 +5,6 @@ Cutting lineage, small bounded tables, and a rank without gaps that never puts a
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from functools import cache
@@ -15,6 +13,10 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from grainloom.session import scratch, settled, shared_dir
+
+__all__ = ["drop_tables", "gapless_rank", "quiet_threads", "renamed", "scratch", "settled", "shared_dir", "short_batches", "stored", "table"]
+
 #: Where the tables of stored() are.
 _TABLES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 #: Groups of a rank are cut so that none holds more than about 1/RANK_PARTS of the rows.
@@ -25,28 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the checkpoint directory the cluster names, or else one of our own."""
-    sc = spark.sparkContext
-    known = sc._jsc.sc().getCheckpointDir()
-    if known.isDefined():
-        return known.get()
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="grainloom-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; nothing is there yet."""
-    return f"{shared_dir(spark)}/grainloom-{name}-{uuid.uuid4().hex}"
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut by a reliable checkpoint, so that a lost executor costs a reread."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def stored(df: DataFrame) -> DataFrame:
     """The same rows, read from a Parquet table written below the shared folder: lineage is cut, Spark knows the size, and drop_tables() can remove it."""
     path = scratch(df.sparkSession, "table")

@@ -172,7 +172,8 @@ def store(docs: DataFrame, form: str = "pgm", high: int = 8, wide: int = 9) -> D
 
     Returns doc_id, n_bytes, media (the stored form: "pgm" or "bmp"), payload_bytes, payload_sha256 and tail_crc32 of the
     samples decoded from media, tile (NPY bytes) and dhash. A null text is empty: one row of zeros. Equal texts have
-    equal values; repeated rows and null ids stay as they are.
+    equal values; repeated rows and null ids stay as they are; texts of any length are
+    stored whole; an empty table gives no rows.
     """
     kind = dict(docs.dtypes)["doc_id"]
     encode = {"pgm": encode_pgm, "bmp": encode_bmp}[form]

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainloom.functions.text import let
+
 #: White space that parts words.
 BLANK = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -50,11 +52,6 @@ RULES = (
 )
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value) with value computed once: as the variable of a lambda, because the optimizer would else write it out at each use."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _count(text: Column, letters: str) -> Column:
     """How many characters of text are among letters, all ASCII: what replacing each by nothing takes away."""
     rest = text
@@ -151,5 +148,9 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of docs that judge() keeps, with all their columns."""
+    """The rows of docs that judge() keeps, with all their columns, whatever their names.
+
+    A null or empty text has no words and goes; a measure at exactly a bound stays; repeated rows and null ids are judged
+    by their text like all others; texts are read whole; an empty table gives no rows.
+    """
     return docs.where(verdict(docs["text"], rules)["kept"])

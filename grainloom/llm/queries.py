@@ -11,43 +11,53 @@ from grainloom.llm.common import scratch, table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals of all documents by source, language and tokenizer, through loads, a revision and a deletion in a ledger."""
     return token_counts.rollup(table(spark, sf_dir, "documents"), scratch(spark, "token-counts"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset; null texts are empty."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near duplicates and its number of links."""
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as a picture with its tile, read back, with digests of what was read; null texts are empty."""
     return media.kept(table(spark, sf_dir, "documents"), scratch(spark, "media"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates of every whole text; null texts are empty."""
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of eight shards of near-equal bytes, equal texts together."""
     return sharding.shard(table(spark, sf_dir, "documents"), 8)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned from labels of rows that aren't held out."""
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the rules for every document; null texts have none."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, with its source's target."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of seekable archives, read back: response, or revisit of an equal payload."""
     return warc.stored(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
 
 

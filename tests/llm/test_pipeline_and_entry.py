@@ -47,6 +47,28 @@ def test_each_stage_does_what_its_operator_says(spark):
     assert max(ends.values()) <= 4096
 
 
+def test_stages_take_odd_tables(spark):
+    """Names that the operators use themselves, null in every column, repeated rows and ids, a text of megabytes; and no rows at all."""
+    names = ["_key", "_text_key", "_id", "_s", "_doc", "_h", "_cell", "node", "bucket", "label", "copies", "size", "rate", "whole", "score", "kept", "length"]
+    text = "The members of the board met in the morning and they went over the plans for the year, {}, with the people of the town and the school."
+    prose = lambda k: " ".join(text.format(f"number {k} of {k * 7}") for _ in range(1)) + f" It was item {k} that took the most time of all the things on that list, as they had to be there for the vote {k * k}."
+    rows = [(k, prose(k), "en", "a", len(prose(k))) for k in range(40)] + [(3, prose(3), "en", "a", 9)] * 2 + [(None, prose(90), None, None, None), (None, prose(90), None, None, None), (None, None, None, None, None), (50, "", "en", "b", 0)]
+    rows.append((60, " ".join(f"{prose(k)}\n" for k in range(100, 20_000)), "en", "b", 5_000_000))
+    table_ = spark.createDataFrame([(*r, *(f"{n}{r[0]}" for n in names)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    for docs in (table_, table_.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            got = out.collect()
+            if docs is not table_:
+                assert not got, name
+            elif name != "best_fit_packing":
+                assert out.columns == docs.columns and {r["doc_id"] for r in got} <= {r[0] for r in rows}
+                assert all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names), name
+                assert name in ("quality_rules", "quality_classifier") or 60 in {r["doc_id"] for r in got}, name
+            else:
+                assert {r["doc_id"] for r in got} == {r[0] for r in rows}
+
+
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
