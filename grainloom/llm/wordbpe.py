@@ -18,9 +18,9 @@ import pyarrow as pa
 from grainloom.llm.textbytes import slices, spans, word_hashes
 
 #: Pre-tokens a worker remembers before it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 #: Bytes of text that are worked on at once.
-AT_ONCE = 1 << 18
+AT_ONCE = 1 << 20
 
 SPACE, LETTER, SIGN, DIGIT, HARD = range(5)
 #: Classes of single bytes; those of two-byte characters from U+0080 to U+00FF follow in classes().
