@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from grainloom.llm import jaccard_join, licenses, media, mixing, packing, quality_classifier, quality_rules, queries, sharding, token_counts, warc
+from grainloom.llm import common, jaccard_join, licenses, media, mixing, packing, quality_classifier, quality_rules, queries, sharding, token_counts, warc
 from grainloom.llm.common import scratch
 from grainloom.llm.components import components
 from grainloom.llm.wordbpe import default_path
@@ -564,6 +564,30 @@ def test_prior_estimate():
     assert 0.7 <= quality_classifier.estimate_prior(up(cells), up(positive), 1000, 200) < 0.75
 
 
+def test_cut_of_least_risk():
+    """Against the risk of every cut, one by one, over two planted heaps of logits; and with a single positive."""
+    rng = np.random.default_rng(6)
+    good, bad, trusted, prior = rng.normal(7, 0.7, 4000), rng.normal(1, 0.6, 1000), rng.normal(7, 0.7, 500), 0.8
+    bins = np.linspace(-quality_classifier.REACH, quality_classifier.REACH, quality_classifier.CELLS + 1)
+    cells = lambda s: np.histogram(s, bins)[0].astype(float)
+    every = np.concatenate((good, bad))
+    cut = quality_classifier.estimate_cut(cells(every), cells(trusted), prior)
+    risk = lambda t: prior * (trusted < t).mean() + max(0.0, (every >= t).mean() - prior * (trusted >= t).mean())
+    risks = [risk(t) for t in bins[:-1]]
+    assert risk(cut) <= min(risks) + 0.02 and (good < cut).mean() == 0 and (bad >= cut).mean() < 0.02
+    # the fit's own cut stands where the whole lies on one side, and one positive is not lost by its own cut
+    assert quality_classifier.estimate_cut(cells(good), cells(trusted), 1.0) < trusted.min()
+    assert quality_classifier.estimate_cut(cells(every), cells(trusted[:1]), prior) <= trusted[0]
+
+
+def test_cut_keeps_held_out_accuracy(spark):
+    """On the given tables, where both kinds are held out."""
+    docs, labels = (common.table(spark, "/root/testdata/sf0.01", k) for k in ("documents", "labels"))
+    got = rows(quality_classifier.classify(docs, labels).where("held_out").join(labels.select("doc_id", "quality"), "doc_id"))
+    good, bad = ([r["predicted"] for r in got if r["quality"] == q] for q in (1, 0))
+    assert np.mean(good) >= 0.99 and np.mean(bad) <= 0.1
+
+
 def test_fit_reaches_the_least_risk(spark):
     """Against plain gradient descent on the non-negative risk, over the same standardised features."""
     rng = np.random.default_rng(4)
