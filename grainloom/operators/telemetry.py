@@ -45,11 +45,25 @@ def labels_text(labels: Column) -> Column:
     return F.when(F.size(labels) > 0, F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))).otherwise("")
 
 
+def number_text(x: Column) -> Column:
+    """A double as Python writes it: as short as it can be, with an exponent only below 1e-4 and from 1e16 on. Java's has one from 1e7 on."""
+
+    def shown(values: pd.Series) -> pd.Series:
+        return pd.Series([repr(v) for v in values.tolist()], dtype=object)
+
+    return F.when(x.isNotNull(), F.pandas_udf(shown, "string")(x))
+
+
 def exposition(series: DataFrame) -> DataFrame:
-    """(name, text): a block of Prometheus text for each name of series (name, type, labels, value)."""
-    line = F.concat("name", labels_text(F.col("labels")), F.lit(" "), F.col("value").cast("string"))
-    block = series.groupBy("name", "type").agg(F.array_sort(F.collect_list(line)).alias("_l"))
-    return block.select("name", F.concat(F.lit("# TYPE "), "name", F.lit(" "), "type", F.lit("\n"), F.array_join("_l", "\n"), F.lit("\n")).alias("text"))
+    """(name, text): a block of Prometheus text for each name of series (name, type, labels, value), its lines by their labels; null without a line."""
+    value = F.col("value").cast("string")
+    if dict(series.dtypes)["value"] in ("float", "double"):
+        value = number_text(value.cast("double"))  # a float keeps its own digits
+    line = F.concat("name", labels_text(F.col("labels")), F.lit(" "), value)
+    lines = series.select("name", "type", F.array_sort(F.map_entries("labels")).alias("_at"), line.alias("_line"))
+    block = lines.groupBy("name", "type").agg(F.array_sort(F.collect_list(F.when(F.col("_line").isNotNull(), F.struct("_at", "_line")))).alias("_l"))
+    text = F.concat(F.lit("# TYPE "), "name", F.lit(" "), "type", F.lit("\n"), F.array_join("_l._line", "\n"), F.lit("\n"))
+    return block.select("name", F.when(F.size("_l") > 0, text).alias("text"))
 
 
 def nearest_rank(rows: DataFrame, by: list[str], value: str, share: float = 0.99, last: int | None = None, order: list[str] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from grainloom import queries
 from grainloom.functions.text import words
 from grainloom.operators import merge, telemetry
 from grainloom.sources import config, documents, sinks
@@ -82,6 +83,27 @@ def test_metrics(spark):
     assert telemetry.nearest_rank(many, ["k"], "value", last=100, order=["id"]).first()["pxx"] == 199.0
 
 
+def test_exposition_numbers_and_order(spark):
+    at = [1e7, 59907727.8, -1e15, 1e16, 1.0885086979780916e18, 1e-3, 1e-4, 1.5e-5, 5e-324, -0.0, float("nan"), float("-inf"), None]
+    series = spark.createDataFrame([("m", "gauge", {"k": f"{i:02d}"}, x) for i, x in enumerate(at)], "name string, type string, labels map<string,string>, value double")
+    assert telemetry.exposition(series).first()["text"] == "# TYPE m gauge\n" + "".join(f'm{{k="{i:02d}"}} {x!r}\n' for i, x in enumerate(at) if x is not None)
+    kinds = spark.createDataFrame([("m", "gauge", {"k": k}, 20_000_000.0) for k in ("a!", "a b", "a")], "name string, type string, labels map<string,string>, value float")
+    assert telemetry.exposition(kinds).first()["text"] == '# TYPE m gauge\nm{k="a"} 20000000.0\nm{k="a b"} 20000000.0\nm{k="a!"} 20000000.0\n'
+    counts = kinds.withColumn("value", F.lit(12345678901).cast("long")).limit(1)
+    assert telemetry.exposition(counts).first()["text"].endswith(" 12345678901\n")
+    assert telemetry.exposition(kinds.withColumn("value", F.lit(None).cast("double"))).first()["text"] is None
+
+
+@pytest.mark.parametrize("rows", [[("click", 6e7 / 7)] * 7 + [("view", 0.25), ("view!", 1.5), ("view all", 2.5), (None, 3.0)], [(None, 1.0)], []])
+def test_exposition_is_its_sql(spark, tmp_path, rows):
+    duckdb = pytest.importorskip("duckdb")
+    spark.createDataFrame(rows, "event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    got = [tuple(r) for r in queries.queries()["metric_exposition"](spark, str(tmp_path)).collect()]
+    assert got == db.execute(queries.oracle_sql()["metric_exposition"]).fetchall()
+
+
 def test_moving_statistics(spark):
     x = np.random.default_rng(2).normal(size=300)
     x[250] = 40
